@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapledger.operators.hierarchy import recent_rows
+from snapledger.sources.files import path_size, widen
 
 AS_OF = dt.datetime(1998, 3, 4)
 TODAY = AS_OF.date()
@@ -26,8 +27,14 @@ SNAPSHOTS = [
 ]
 
 
+# Below this a table is not worth spreading over the cores.
+_SMALL = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return df if path_size(spark, path) < _SMALL else widen(df)
 
 
 def _per_snapshot(df: DataFrame) -> DataFrame:

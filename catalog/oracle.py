@@ -496,7 +496,7 @@ _BODIES = {
     ]),
     "table_profile_stories": _profile("fx_story_history", _STORY_KINDS),
     "table_profile_total": f"""
-        select sum(NULLS) as NULLS, round(sum(NULLS) * 100.0 / sum(ROW_COUNT), 4) as NULL_PCT
+        select cast(sum(NULLS) as bigint) as NULLS, round(sum(NULLS) * 100.0 / sum(ROW_COUNT), 4) as NULL_PCT
         from ({_profile('fx_story_history', _STORY_KINDS)})""",
     "adhoc_sql": """
         select f.PROGRAM_PRIORITY, s.ISSUE_TYPE as STORY_TYPE, count(*) as STORY_COUNT,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import inputs as I
 from snapledger import fixed
@@ -439,17 +439,20 @@ def stories_table(spark, sf):
         stories.story_history_unique(snapshots, source),
         feature_lookup(spark, sf),
         I.AS_OF,
+        dates_from=snapshots.where("ISSUE_KEY is not null"),
     )
 
 
 def _epics_marked(spark, sf):
+    snapshots = I.issue_history(spark, sf)
     return epics.epics_marked(
         hierarchy_flatten_current(spark, sf),
-        epics.epic_history_unique(I.issue_history(spark, sf)),
+        epics.epic_history_unique(snapshots),
         agile_rollup_current(spark, sf),
         agile_rollup_snapshots(spark, sf),
         _lookups(spark, sf),
         I.AS_OF,
+        dates_from=snapshots.where("ISSUE_TYPE = 'Epic' and ISSUE_KEY is not null"),
     )
 
 

@@ -42,7 +42,7 @@ def flatten_hierarchy(
         )
         if upper is not None:
             on = [("__up", "__id")] + [("__day", "__day") for _ in day]
-            rows = left_lookup(rows, upper.drop("__up"), on)
+            rows = left_lookup(rows, upper.drop("__up"), on, spread_by="__id")
         upper = rows
     if snapshot:
         upper = upper.withColumnRenamed("__day", snapshot)

@@ -1,16 +1,16 @@
 """Left lookups with explicit rules for nulls, clashing names and hot keys.
 
 Null keys: in a plain left join they match nothing, yet they all hash to one
-partition. They are spread over many partitions here. A hot key that is not
-null is left to adaptive execution, which splits an oversized left-side
-partition of an outer or anti join into several tasks.
+partition. ``spread_by`` sends them to many. A hot key that is not null is left
+to adaptive execution, which splits an oversized left-side partition of an outer
+or anti join into several tasks.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 _SPREAD = 1024
 
@@ -25,12 +25,15 @@ def left_lookup(
     on,
     suffix: str = "_right",
     null_safe: bool = False,
+    spread_by: str | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right``: all left columns, then the right's other columns.
 
     ``on`` holds names, or ``(left name, right name)`` pairs. Right columns whose
     name the left already has (Spark compares names without case) get ``suffix``.
-    With ``null_safe`` a null key equals a null key.
+    With ``null_safe`` a null key equals a null key; otherwise ``spread_by`` may
+    name a left column that tells rows apart, for large tables whose first key is
+    text and often null.
     """
     pairs = _pairs(on)
     key_name = {r: f"__key_{i}" for i, (_, r) in enumerate(pairs)}
@@ -48,25 +51,22 @@ def left_lookup(
         lk, rk = F.col(f"`{l}`"), F.col(key_name[r])
         if null_safe:
             tests.append(lk.eqNullSafe(rk))
-        elif i == 0 and isinstance(left.schema[l].dataType, T.StringType):
-            tests += [_spread_nulls(left, l) == rk, lk.isNotNull()]
+        elif i == 0 and spread_by:
+            tests += [_spread_nulls(lk, F.col(f"`{spread_by}`")) == rk, lk.isNotNull()]
         else:
             tests.append(lk == rk)
     joined = left.join(right, reduce(Column.__and__, tests), "left")
     return joined.drop(*key_name.values())
 
 
-def _spread_nulls(left: DataFrame, key: str) -> Column:
+def _spread_nulls(key: Column, by: Column) -> Column:
     """The key, or for a null key a value that differs from row to row.
 
     The stand-in only decides where the row is sent: the join also demands a
-    non-null key. It is a hash of the row, so a retried task repeats it.
+    non-null key. It is a hash and not random, so a retried task repeats it.
     """
-    hashable = [
-        F.col(f"`{f.name}`") for f in left.schema if not isinstance(f.dataType, T.MapType)
-    ]
-    stand_in = F.pmod(F.xxhash64(*hashable), F.lit(_SPREAD)).cast("string")
-    return F.coalesce(F.col(f"`{key}`"), F.concat(F.lit("\u0000"), stand_in))
+    stand_in = F.pmod(F.xxhash64(by), F.lit(_SPREAD)).cast("string")
+    return F.coalesce(key, F.concat(F.lit("\u0000"), stand_in))
 
 
 def fallback_lookup(

@@ -38,17 +38,13 @@ def _exact_uniques(df: DataFrame) -> DataFrame:
     aggregate with partial aggregation serves all of them; several distinct
     counts in one aggregate would copy the whole row once per column.
     """
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), _as_text(f.name, f.dataType).alias("v"))
-            for i, f in enumerate(df.schema)
-        ]
+    values = df.select(
+        *[_as_text(f.name, f.dataType).alias(str(i)) for i, f in enumerate(df.schema)]
     )
     return (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.i", "p.v")
+        values.unpivot([], values.columns, "i", "v")
         .distinct()
-        .groupBy(F.col("i").alias("__i"))
+        .groupBy(F.col("i").cast("int").alias("__i"))
         .agg(F.count(F.lit(1)).alias("UNIQUES"))
     )
 

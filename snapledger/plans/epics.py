@@ -19,7 +19,7 @@ from snapledger.operators.joins import assert_unique, fallback_lookup, left_look
 from snapledger.operators.merge import latest_per_key
 from snapledger.operators.releases import release_range
 from snapledger.operators.rollup import rollup_estimates
-from snapledger.operators.sprints import current_sprint, sprint_range, sprint_windows
+from snapledger.operators.sprints import summary_current, summary_range, sprint_summary
 from snapledger.session import stage
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.sinks import write_report
@@ -62,7 +62,7 @@ def join_agile(
         on.append((fixed.SNAPSHOT, fixed.SNAPSHOT))
     if strict:
         assert_unique(agile, on)
-    return left_lookup(epics, agile, on, "_agile")
+    return left_lookup(epics, agile, on, "_agile", spread_by=fixed.EPIC_KEY)
 
 
 @dataclass
@@ -90,19 +90,18 @@ def sprint_lookups(
     """All four lookups. History rows too are matched with the sprint containing
     ``today``, not their own snapshot date.
 
-    The distinct sprints are staged, so the story tables are read once, and so are
-    the lookups, which tells the planner whether they are small enough to
-    broadcast: the tables they are joined to then need no shuffle.
+    Each story table is read once and combined before the shuffle to a summary of
+    a few rows per group, which is staged. Its true size tells the planner whether
+    the lookups may be broadcast; the tables they are joined to then stay put.
     """
     keep = stage if staged else (lambda df, name: df)
-    dated = keep(sprint_windows(snapshots, fixed.SNAPSHOT), "sprints-history")
-    plain = keep(sprint_windows(stories), "sprints-current")
-    by_group = [fixed.GROUP]
+    dated = keep(sprint_summary(snapshots, today), "sprints-history")
+    plain = keep(sprint_summary(stories, today, [fixed.GROUP]), "sprints-current")
     return SprintLookups(
-        keep(sprint_range(dated), "range-history"),
-        keep(sprint_range(plain, by_group), "range-current"),
-        keep(current_sprint(dated, today), "sprint-history"),
-        keep(current_sprint(plain, today, by_group), "sprint-current"),
+        summary_range(dated),
+        summary_range(plain, [fixed.GROUP]),
+        summary_current(dated),
+        summary_current(plain, [fixed.GROUP]),
     )
 
 
@@ -132,6 +131,7 @@ def epics_marked(
     lookups: SprintLookups,
     as_of: datetime,
     strict: bool = False,
+    dates_from: DataFrame | None = None,
 ) -> DataFrame:
     """The report with current rows still marked by a null snapshot date.
 
@@ -141,7 +141,7 @@ def epics_marked(
     """
     current = coerce(current, fixed.EPIC_TYPES).distinct()
     history = coerce(history, fixed.EPIC_TYPES)
-    filled = fill_missing_snapshots(current, history, as_of)
+    filled = fill_missing_snapshots(current, history, as_of, dates_from=dates_from)
     filled = filled.withColumn(fixed.SNAPSHOT, to_date(F.col(fixed.SNAPSHOT)))
     if strict:
         lookups.check_unique()

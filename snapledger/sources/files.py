@@ -48,6 +48,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of everything under a folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getContentSummary(hadoop).getLength()
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a table over all cores when its scan has fewer splits than that.
+
+    A file of one row group is read by one task, and everything up to the next
+    shuffle would run in that task. Tables with enough splits, which is any large
+    one, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Entries of a folder on any Hadoop file system, sorted by name."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
