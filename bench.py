@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog.queries import QUERIES  # noqa: E402
+from snapledger.session import SETTINGS  # noqa: E402
 
 HEADLINE = [
     "hierarchy_flatten_current",
@@ -51,8 +52,8 @@ def main() -> None:
         .appName("bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config(map=SETTINGS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -235,13 +235,12 @@ _STORIES = f"""
         SPRINT_NAME_ALT SNAPSHOT_DATE_ALT PI_FROM_SPRINT''')}
     from joined"""
 
-_ISSUE_REST = """PARENT_KEY ISSUE_TYPE SUMMARY ESTIMATE OPEN_ESTIMATE SWAG PROGRAM_PRIORITY
-    FIX_VERSION TEAM_NAME PROGRAM_INCREMENT STATUS TARGET_START TARGET_END"""
+_ISSUE_REST = "PARENT_KEY SUMMARY ESTIMATE OPEN_ESTIMATE SWAG PROGRAM_PRIORITY FIX_VERSION"
 
 _AGILE = "PROGRAM_INCREMENT, TOTAL_ESTIMATE, DONE_ESTIMATE, OPEN_ESTIMATE, SPRINT_COUNT, BEGIN_DATE, END_DATE"
 
 _EPICS_WITH = f"""
-    with one_issue as ({_latest('fx_issue_history', 'ISSUE_KEY SNAPSHOT_DATE', '', _ISSUE_REST)}),
+    with one_issue as ({_latest('fx_issue_history', 'ISSUE_KEY SNAPSHOT_DATE ISSUE_TYPE', '', _ISSUE_REST)}),
     cur as ({_flatten('fx_issue_current', False)}),
     hist as ({_flatten('one_issue', True)}),
     gaps as ({_missing('hist')}),

@@ -27,15 +27,16 @@ def increment_of(name: Column) -> Column:
 
 
 def version_key(version: Column) -> Column:
-    parts = F.split(version, "[.]")
+    def part(i: int) -> Column:
+        return F.split_part(version, F.lit("."), F.lit(i))
 
     def whole(i: int) -> Column:
-        return F.coalesce(F.get(parts, i).try_cast("bigint"), F.lit(0).cast("bigint"))
+        return F.coalesce(part(i).try_cast("bigint"), F.lit(0).cast("bigint"))
 
     sprint = F.when(
-        F.get(parts, 2) == fixed.IP_LABEL, F.lit(fixed.IP_RANK).cast("bigint")
-    ).otherwise(whole(2))
-    return (whole(0) % 100) * 10000 + whole(1) * 100 + sprint
+        part(3) == fixed.IP_LABEL, F.lit(fixed.IP_RANK).cast("bigint")
+    ).otherwise(whole(3))
+    return (whole(1) % 100) * 10000 + whole(2) * 100 + sprint
 
 
 def key_version(key: Column) -> Column:

@@ -11,6 +11,7 @@ from snapledger import fixed
 from snapledger.functions.dates import recent_bound
 from snapledger.functions.text import parse_column
 from snapledger.operators.joins import left_lookup
+from snapledger.operators.merge import latest_per_key
 
 
 def flatten_hierarchy(
@@ -20,11 +21,14 @@ def flatten_hierarchy(
     kind: str = "ISSUE_TYPE",
     key: str = "ISSUE_KEY",
     parent: str = "PARENT_KEY",
+    unique: bool = False,
 ) -> DataFrame:
     """One wide row per leaf. ``levels`` maps kind -> columns, leaf first.
 
     With ``snapshot`` parent and child must also agree on that column. A broken
-    link leaves everything above it null.
+    link leaves everything above it null. A key that occurs more than once on a
+    level gives a row for each; ``unique`` first keeps one row per key and
+    snapshot on every level, so that repeated keys do not multiply each other.
 
     The chain is joined from the root down, so the upper levels, each a fraction
     of the one below, are resolved among themselves and the leaf table is
@@ -40,6 +44,8 @@ def flatten_hierarchy(
             *[F.col(d).alias("__day") for d in day],
             *[F.col(s).alias(o) for s, o in map(parse_column, columns)],
         )
+        if unique:
+            rows = latest_per_key(rows, ["__id"] + ["__day" for _ in day])
         if upper is not None:
             on = [("__up", "__id")] + [("__day", "__day") for _ in day]
             rows = left_lookup(rows, upper.drop("__up"), on, spread_by="__id")

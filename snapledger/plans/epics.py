@@ -16,10 +16,9 @@ from snapledger.operators.columns import rename_all
 from snapledger.operators.gapfill import fill_missing_snapshots
 from snapledger.operators.hierarchy import flatten_hierarchy, recent_rows
 from snapledger.operators.joins import assert_unique, fallback_lookup, left_lookup
-from snapledger.operators.merge import latest_per_key
 from snapledger.operators.releases import release_range
 from snapledger.operators.rollup import rollup_estimates
-from snapledger.operators.sprints import summary_current, summary_range, sprint_summary
+from snapledger.operators.sprints import sprint_summary, summary_current, summary_range
 from snapledger.session import stage
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.sinks import write_report
@@ -33,14 +32,16 @@ def epic_current(issues: DataFrame) -> DataFrame:
 
 
 def epic_history(snapshots: DataFrame) -> DataFrame:
-    flat = flatten_hierarchy(snapshots, fixed.SNAPSHOT)
-    return flat.select(fixed.SNAPSHOT, fixed.EPIC_KEY, *fixed.FLAT_COLUMNS)
+    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT))
 
 
 def epic_history_unique(snapshots: DataFrame) -> DataFrame:
-    """:func:`epic_history` with one row per epic and date: repeated issues are
-    removed before the levels are joined, so they do not multiply."""
-    return epic_history(latest_per_key(snapshots, ["ISSUE_KEY", fixed.SNAPSHOT]))
+    """:func:`epic_history` with one row per epic and date."""
+    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT, unique=True))
+
+
+def _dated(flat: DataFrame) -> DataFrame:
+    return flat.select(fixed.SNAPSHOT, fixed.EPIC_KEY, *fixed.FLAT_COLUMNS)
 
 
 def agile_current(stories: DataFrame) -> DataFrame:

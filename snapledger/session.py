@@ -1,4 +1,4 @@
-"""Shared scratch space for intermediate tables."""
+"""Session settings and shared scratch space for intermediate tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Session settings the report plans are written for.
+SETTINGS = {
+    # Dates and naive timestamps only; UTC keeps casts between them neutral.
+    "spark.sql.session.timeZone": "UTC",
+    # Parquet text is several times larger in memory than in the file. Without
+    # this the planner takes the file size for the size of a broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4",
+}
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
