@@ -1,11 +1,9 @@
-"""Comparing a Spark result with the oracle's, whatever the row order."""
+"""Comparing a Spark result with the oracle's as bags of rows."""
 
 from __future__ import annotations
 
-import datetime as dt
 import glob
 import os
-from collections import Counter
 
 import duckdb
 
@@ -18,26 +16,22 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(v):
-    if isinstance(v, dt.datetime):
-        return v.isoformat()
-    if isinstance(v, bool) or v is None:
-        return v
-    if isinstance(v, (int, float)):
-        return float(v)
-    return v.isoformat() if isinstance(v, dt.date) else v
-
-
-def bag(columns, rows) -> Counter:
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
-
-
-def oracle_bag(con, sql: str):
-    cur = con.execute(sql)
-    columns = [d[0] for d in cur.description]
-    return sorted(columns), bag(columns, cur.fetchall())
-
-
-def spark_bag(df):
-    return sorted(df.columns), bag(df.columns, [tuple(r) for r in df.collect()])
+def differences(con, df, sql: str) -> dict:
+    """What one side has and the other lacks; empty when they agree."""
+    con.register("got", df.toArrow())
+    con.execute(f"create or replace temp table want as {sql}")
+    kinds = {}
+    for name in ("got", "want"):
+        rows = con.execute(f"describe select * from {name}").fetchall()
+        kinds[name] = {r[0]: r[1] for r in rows}
+    if kinds["got"] != kinds["want"]:
+        return {"schema": set(kinds["got"].items()) ^ set(kinds["want"].items())}
+    columns = ", ".join(f'"{c}"' for c in kinds["want"])
+
+    def minus(a: str, b: str) -> int:
+        return con.execute(
+            f"select count(*) from (select {columns} from {a} except all select {columns} from {b})"
+        ).fetchall()[0][0]
+
+    counts = {"only got": minus("got", "want"), "only wanted": minus("want", "got")}
+    return {k: n for k, n in counts.items() if n}
