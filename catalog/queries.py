@@ -8,7 +8,7 @@ from catalog import inputs as I
 from snapledger import fixed
 from snapledger.functions import casting, dates, sprints as sprint_text, text
 from snapledger.operators import (
-    align, gapfill, hierarchy, joins, merge, profile, releases, rollup, sampling, sprints,
+    align, gapfill, hierarchy, joins, merge, profile, releases, sprints,
 )
 from snapledger.plans import epics, stories
 from snapledger.plans.publish import open_workspace
@@ -419,8 +419,9 @@ def table_count(spark, sf):
 @query
 def csv_round_trip(spark, sf):
     path = new_path(spark, "export") + ".csv"
-    sinks.export(agile_rollup_current(spark, sf), "csv", path)
-    return files.read_file(spark, path)
+    rollup = agile_rollup_current(spark, sf)
+    sinks.export(rollup, "csv", path)
+    return files.read_file(spark, path, rollup.schema)
 
 
 @query
