@@ -66,21 +66,25 @@ def merge_snapshots(
     snapshot: str = fixed.SNAPSHOT,
     newest: str | list[str] = (),
     cached_is_unique: bool = False,
+    recent_is_unique: bool = False,
 ) -> DataFrame:
     """Recent rows replace cached rows of the same key and snapshot.
 
     The anti-join leaves no key on both sides, so each side is reduced to one row
-    per key on its own and the union needs no further shuffle. Pass
-    ``cached_is_unique`` when the cached side already holds one row per key.
+    per key on its own and the union needs no further shuffle. ``..._is_unique``
+    says that a side already holds one row per key.
     """
     keys = [key, snapshot]
     cached = normalize_keys(cached, key, snapshot)
     recent = normalize_keys(recent, key, snapshot)
     kept = without_keys(cached, recent, keys).select(*cached.columns)
-    present = [c for c in ([newest] if isinstance(newest, str) else newest)]
+    newest = [newest] if isinstance(newest, str) else newest
 
-    def reduce_side(df: DataFrame) -> DataFrame:
-        return latest_per_key(df, keys, [c for c in present if c in df.columns])
+    def one_per_key(df: DataFrame, is_unique: bool) -> DataFrame:
+        if is_unique:
+            return df.dropna(subset=keys)
+        return latest_per_key(df, keys, [c for c in newest if c in df.columns])
 
-    kept = kept.dropna(subset=keys) if cached_is_unique else reduce_side(kept)
-    return union_aligned(kept, reduce_side(recent))
+    return union_aligned(
+        one_per_key(kept, cached_is_unique), one_per_key(recent, recent_is_unique)
+    )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Session settings the report plans are written for.
@@ -49,4 +52,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    log.info("staged %s at %s", name, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from catalog import inputs as I
 from snapledger.operators.merge import ShrinkError
 from snapledger.plans import epics, stories
 from snapledger.plans.publish import open_workspace
+from snapledger.session import stage
 from snapledger.sources import files, sinks
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.jdbc import JdbcSource, Split
@@ -78,6 +79,15 @@ def test_guard_stops_before_anything_changes(spark, store):
     assert store.merge(recent, force=True).count() == 50
 
 
+def test_dates_can_be_replaced_again_from_a_staged_copy(spark, store):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+    merged = stage(snaps(spark, [("a", MID, 2, 2), ("b", MID, 2, 2)]), "merged")
+    for _ in range(2):
+        store.replace_dates(merged)
+        got = store.read().select("K", "SNAPSHOT_DATE", "V", "UPDATED")
+        assert rows(got) == Counter([("a", OLD, 1, 1), ("a", MID, 2, 2), ("b", MID, 2, 2)])
+
+
 def test_merge_of_nothing(spark, store):
     store.seed(snaps(spark, [("a", OLD, 1, 1)]))
     assert store.merge(snaps(spark, [])).count() == 1
