@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as registered
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from compare import connect, differences
 
-QUERIES = registered.queries()
-ORACLE = registered.oracle_sql()
 NO_SQL = {"random_sample", "table_profile_approx"}
 
 
@@ -15,7 +15,9 @@ def con(sf):
     return connect(sf)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_is_registered_and_has_an_oracle():
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(ORACLE) <= set(registered.oracle_sql())
     assert set(QUERIES) - set(ORACLE) == NO_SQL
     assert set(ORACLE) <= set(QUERIES)
 
