@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import packing, sequence_files, token_counts
+from snapledger.llm import mixing, packing, sequence_files, sharding, token_counts
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
@@ -51,3 +51,25 @@ def op10_sequence_files(spark, sf):
         table(spark, sf, "documents"), vocabulary_path(TOKENIZER), folder, length=TOKEN_LIMIT, end_id=0
     )
     return sequence_files.read_documents(spark, folder, manifest)
+
+
+@query
+def op4_source_mix(spark, sf):
+    plan = mixing.plan_mix(table(spark, sf, "documents"), weights=[3.0, 1.0, 2.0], share=1.5, most_passes=2.0)
+    return plan.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "shards"
+    )
+
+
+@query
+def op9_shards(spark, sf):
+    shards = sharding.shard_documents(table(spark, sf, "documents"), n_shards=8)
+    return shards.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
