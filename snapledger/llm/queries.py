@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import mixing, packing, sequence_files, sharding, token_counts
+from snapledger.llm import fingerprints, mixing, packing, sequence_files, sharding, token_counts
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
@@ -73,3 +73,25 @@ def op9_shards(spark, sf):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op5_fingerprints(spark, sf):
+    rows = fingerprints.with_next(table(spark, sf, "documents"))
+    n_chars = F.length("text").cast("long")
+    cut = F.floor(n_chars / 2).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), (n_chars - cut).cast("int")), F.substring("next_text", F.lit(1), cut)
+    )
+    rows = rows.withColumns({"n_chars": n_chars, "edited": edited}).drop("text", "next_text")
+    rows = rows.withColumn("edited_signatures", fingerprints.signatures(F.col("edited")))
+    own = F.col("signatures")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.fingerprint_text(own).alias("fingerprint"),
+        fingerprints.fingerprint_text(F.col("edited_signatures")).alias("edited_fingerprint"),
+        fingerprints.likeness(own, F.col("edited_signatures")).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_signatures")).alias("near_next"),
+    )
