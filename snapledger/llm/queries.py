@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import fingerprints, mixing, packing, sequence_files, sharding, token_counts
+from snapledger.llm import embeddings, fingerprints, mixing, packing, sequence_files, sharding, token_counts
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_embedding_near_dedup(spark, sf):
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"), threshold=0.98)
+
+
 @query
 def op2_best_fit_packing(spark, sf):
     found = packing.pieces(table(spark, sf, "documents"), vocabulary_path(TOKENIZER), capacity=1024, end_id=2)
