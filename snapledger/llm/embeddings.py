@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapledger.llm.components import components
 from snapledger.session import stage
 
-_CELL_ROWS = 512  # vectors to a centre, on average
+_CELL_ROWS = 2048  # vectors to a centre, on average
 _MOST_CENTRES = 1024
 _ROUNDS = 4
 _BLOCK_ROWS = 256
