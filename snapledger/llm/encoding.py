@@ -22,7 +22,6 @@ _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 
 _KEEP_PARTS = 400_000  # entries of each of a worker's two tables, about 70 MB
 _KEEP_CHARS = 40  # longer parts are not kept
-_JOIN_CHARS = 1_000_000
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -84,13 +83,12 @@ class Encoder:
             # Parts that are still in use move from the older table to the newer.
             self.older, self.parts = self.parts, {}
         parts, older = self.parts, self.older
-        missing = set().union(*cut)
-        missing.difference_update(parts)
-        kept = missing.intersection(older)
-        parts.update((part, older[part]) for part in kept)
-        missing -= kept
+        missing = [part for part in set().union(*cut) if part not in parts]
+        if older:
+            parts.update((part, older[part]) for part in missing if part in older)
+            missing = [part for part in missing if part not in older]
         if missing:
-            parts.update(self._encode_parts(list(missing)))
+            parts.update(self._encode_parts(missing))
         get = parts.__getitem__
         ids = [b"".join(map(get, own)) for own in cut]
         for part in missing:
@@ -109,26 +107,18 @@ class Encoder:
         return text.replace(" ", "\0 ").split("\0")
 
     def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
-        found, run, chars = {}, [], 0
-        alone = []
-        for part in parts:
-            # Only parts with a cut on either side may stand next to each other.
-            if part[:1] == " " and not part[-1].isspace():
-                run.append(part)
-                chars += len(part)
-                if chars > _JOIN_CHARS:
-                    found.update(self._encode_run(run))
-                    run, chars = [], 0
-            else:
-                alone.append(part)
-        if run:
-            found.update(self._encode_run(run))
-        found.update(zip(alone, self._whole(alone)))
+        # Only parts with a cut on either side may stand next to each other.
+        run = [part for part in parts if part[:1] == " " and not part[-1].isspace()]
+        found = self._encode_run(run) if run else {}
+        if len(run) < len(parts):
+            alone = [part for part in parts if part not in found]
+            found.update(zip(alone, self._whole(alone)))
         return found
 
     def _encode_run(self, run: list[str]) -> dict[str, bytes]:
-        ids = self._whole(["".join(run)])[0]
-        ends = np.cumsum([len(part.encode()) for part in run])
+        text = "".join(run)
+        ids = self._whole([text])[0]
+        ends = np.cumsum([*map(len, run if text.isascii() else [part.encode() for part in run])])
         token_ends = np.cumsum(self.byte_lengths[np.frombuffer(ids, np.uint32)])
         at = np.searchsorted(token_ends, ends)
         if token_ends[-1] != ends[-1] or not np.array_equal(token_ends[at], ends):
