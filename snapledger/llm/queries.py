@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import embeddings, fingerprints, mixing, packing, sequence_files, sharding, token_counts
+from snapledger.llm import embeddings, fingerprints, jaccard_join, mixing, packing, sequence_files, sharding, token_counts
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
@@ -58,6 +58,11 @@ def op10_sequence_files(spark, sf):
     return sequence_files.read_documents(spark, folder, manifest)
 
 
+@query
+def op3_ngram_jaccard_join(spark, sf):
+    return jaccard_join.similar_documents(table(spark, sf, "documents"), size=4, percent=85)
+
+
 @query
 def op4_source_mix(spark, sf):
     plan = mixing.plan_mix(table(spark, sf, "documents"), weights=[3.0, 1.0, 2.0], share=1.5, most_passes=2.0)
