@@ -1,10 +1,11 @@
 """Token ids of whole texts inside a task, from the tokenizers library.
 
 A byte-level BPE tokenizer cuts text before merging. Its pattern never lets a
-token run across "a character that is not white space, then a space", so a text
-may be cut at all such places and its ids are the ids of its parts, joined.
-Parts repeat a lot; each worker keeps the ids of the short ones it has met, in
-a table of bounded size, and has the library encode the others in one call.
+token run from a character that is not white space into white space, nor from a
+letter into a comma or full stop, so a text may be cut at all such places and
+its ids are the ids of its parts, joined. Parts repeat a lot; each worker keeps
+the ids of the short ones it has met, in tables of bounded size, and has the
+library encode the others in one call.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ import hashlib
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 
-# Fixed value: where a text may be cut.
-_CUT = re.compile(r"(?<=\S)(?= )")
-_SPACE_BEFORE_SPACE = re.compile(r"\s ")
+# Where a text may be cut.
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_SPACE_IN_SPACE = re.compile(r"\s[ \n]")
+_MARK_AFTER_OTHER = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ][,.]")
+
+_STARTS = (" ", "\n")
 
 _KEEP_PARTS = 400_000  # entries of each of a worker's two tables, about 70 MB
 _KEEP_CHARS = 40  # longer parts are not kept
@@ -83,18 +88,24 @@ class Encoder:
             # Parts that are still in use move from the older table to the newer.
             self.older, self.parts = self.parts, {}
         parts, older = self.parts, self.older
-        missing = [part for part in set().union(*cut) if part not in parts]
-        if older:
-            parts.update((part, older[part]) for part in missing if part in older)
-            missing = [part for part in missing if part not in older]
+        # The parts of this call make a table small enough to stay in the processor's cache.
+        own = dict.fromkeys(chain.from_iterable(cut))
+        missing = []
+        for part in own:
+            ids = parts.get(part)
+            if ids is None:
+                ids = older.get(part)
+                if ids is None:
+                    missing.append(part)
+                    continue
+                parts[part] = ids
+            own[part] = ids
         if missing:
-            parts.update(self._encode_parts(missing))
-        get = parts.__getitem__
-        ids = [b"".join(map(get, own)) for own in cut]
-        for part in missing:
-            if len(part) > _KEEP_CHARS:
-                del parts[part]
-        return ids
+            found = self._encode_parts(missing)
+            own.update(found)
+            parts.update((part, ids) for part, ids in found.items() if len(part) <= _KEEP_CHARS)
+        get = own.__getitem__
+        return [b"".join(map(get, text)) for text in cut]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -102,13 +113,17 @@ class Encoder:
 
     @staticmethod
     def _cut(text: str) -> list[str]:
-        if "\0" in text or _SPACE_BEFORE_SPACE.search(text) or text[:1] == " ":
+        if "\0" in text or _SPACE_IN_SPACE.search(text) or text[:1].isspace():
             return _CUT.split(text)
-        return text.replace(" ", "\0 ").split("\0")
+        text = text.replace(" ", "\0 ").replace("\n", "\0\n")
+        # Before commas and full stops only where all of them follow a letter.
+        if text[:1] not in ",." and not _MARK_AFTER_OTHER.search(text):
+            text = text.replace(",", "\0,").replace(".", "\0.")
+        return text.split("\0")
 
     def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
-        # Only parts with a cut on either side may stand next to each other.
-        run = [part for part in parts if part[:1] == " " and not part[-1].isspace()]
+        # Parts that start with white space and do not end with it may stand side by side.
+        run = [part for part in parts if part[:1] in _STARTS and not part[-1].isspace()]
         found = self._encode_run(run) if run else {}
         if len(run) < len(parts):
             alone = [part for part in parts if part not in found]
@@ -127,7 +142,7 @@ class Encoder:
         return {p: ids[a:b] for p, a, b in zip(run, [0, *stops], stops)}
 
 
-def batches(texts: list, chars: int = 2_000_000):
+def batches(texts: list, chars: int = 500_000):
     """Cut a column of texts into runs of a bounded number of characters; null is empty."""
     start = size = 0
     for i, text in enumerate(texts):
