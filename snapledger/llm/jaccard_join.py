@@ -412,3 +412,18 @@ def similar_documents(
     return named.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80, id_col="doc_id", text_col="text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``similar_documents`` leaves one of each class.
+
+    That is the least id of a class, and one row of it where rows repeat the id
+    (any of them, if they differ). Rows with a null id are in no class; all stay.
+    """
+    classes = similar_documents(docs, size, percent, id_col, text_col)
+    kept = stage(
+        classes.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids"
+    )
+    named = docs.withColumn("_kept_id", F.col(id_col).cast("long"))
+    stay = named.where("_kept_id is not null").join(kept, "_kept_id", "left_semi").dropDuplicates(["_kept_id"])
+    return stay.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import embeddings, fingerprints, jaccard_join, mixing, packing, sequence_files, sharding, token_counts
+from snapledger.llm import embeddings, fingerprints, jaccard_join, mixing, packing, quality, sequence_files, sharding, token_counts, toxicity
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
@@ -105,3 +105,22 @@ def op5_fingerprints(spark, sf):
         fingerprints.likeness(own, F.col("edited_signatures")).alias("near_edited"),
         fingerprints.likeness(own, F.col("next_signatures")).alias("near_next"),
     )
+
+
+@query
+def op7_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    weights = toxicity.train(docs, labels.where(fold != 2))
+    scored = toxicity.score(docs, weights)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_quality_classifier(spark, sf):
+    return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
