@@ -6,7 +6,8 @@
    (by a hash of the element) than that number, they agree in one part at least.
    Sets of about one length use the same number of parts; each meets the sets of
    its own length class and of the next. Sets that agree in a part are candidates
-   and are gathered, by connected components, into neighbourhoods.
+   and are gathered, by connected components, into neighbourhoods. Large ones,
+   which common passages chain together, are gathered anew by rare elements.
 3. In a neighbourhood the sets, in one order of their elements, are stored in a
    prefix tree. A traversal for one set shares the overlap of each path among all
    sets below it, and leaves a subtree when the lengths that remain rule it out.
@@ -68,7 +69,8 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 # --- candidates ------------------------------------------------------------
-_PARTS_FROM = 32  # shorter sets are found by single elements
+_PARTS_FROM = 128  # shorter sets are found by pairs of elements
+_PART_ELEMENTS = 3  # parts of fewer are too common to tell anything
 
 
 def _class_bounds(percent: int) -> np.ndarray:
@@ -92,21 +94,28 @@ def part_hashes(elements: np.ndarray, percent: int, bounds: np.ndarray) -> np.nd
     """Two linked sets have a hash in common.
 
     Sets of a class share a way of being cut into parts, five more than linked
-    sets can have differences, so they agree in five parts at least. A set is cut
-    in the way of its class, and in that of the next for longer partners. Empty
-    parts are left out: for a link to be missed, the chance that all shared
-    elements (29 or more) lie in the parts that differ is below one in 10^8 even
-    for sets that barely link, and far lower for longer ones.
-
-    Sets below the first class have too few elements for that. By order of hash,
-    linked ones share one of the first elements that are not needed to reach the
-    threshold, plus one; those elements are emitted as they are.
+    sets can have differences, so they agree in five parts at least, and mostly in
+    a third of all. A set is cut in the way of its class, and in that of the next
+    for longer partners. Parts of one or two elements are left out, since many
+    unrelated sets share those. For a link to be missed, all parts without a
+    difference must be so small: below one in 10^7 for sets of 128 elements that
+    barely link, and far lower for longer or closer ones.
+
+    Sets below the first class are found without that: by order of hash, linked
+    ones share two of the first elements that are not needed to reach the
+    threshold, plus two. All pairs of those are emitted; and the single elements
+    of sets so short that one shared element may be enough.
     """
     n = len(elements)
     own = int(np.searchsorted(bounds, n, "right")) - 1
     found = []
     if own == 0:
-        found.append(elements[: n - -(-percent * n // 100) + 1])
+        needed = -(-percent * n // 100)
+        first = elements[: n - needed + 2]
+        i, j = np.triu_indices(len(first), 1)
+        found.append(_scramble(_scramble(first[i]) + first[j] * _MIX))
+        if needed < 2:
+            found.append(elements)
     for scheme in (own, own + 1):
         # A set of the next class is at most 100/percent as long.
         if scheme == 0 or (scheme > own and 100 * n < percent * int(bounds[scheme])):
@@ -117,7 +126,8 @@ def part_hashes(elements: np.ndarray, percent: int, bounds: np.ndarray) -> np.nd
         firsts = np.flatnonzero(np.diff(part[order], prepend=-1))
         sums = np.add.reduceat(_scramble(elements + _MIX)[order], firsts)
         names = part[order][firsts].astype(np.uint64) * _MIX + np.uint64(scheme)
-        found.append(_scramble(sums ^ _scramble(names)))
+        full = np.diff(np.append(firsts, n)) >= _PART_ELEMENTS
+        found.append(_scramble(sums ^ _scramble(names))[full])
     return np.concatenate(found) if found else elements[:0]
 
 
@@ -330,6 +340,43 @@ def _join(size: int, percent: int):
     return run
 
 
+def _with_blocks(near: DataFrame) -> DataFrame:
+    """Adds the number of blocks of each neighbourhood, by the elements of all its sets."""
+    blocks = near.groupBy("nearby").agg(F.ceil(F.sum("n") / _BLOCK_ELEMENTS).alias("blocks"))
+    return stage(near.join(stage(blocks, "nearby-blocks"), "nearby"), "nearby-nodes")
+
+
+def rare_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b: documents (node, text) that share one of their rarest elements, each linked to the least that has it.
+
+    In order of how many of these documents have an element, linked sets share
+    one of the first that are not needed to reach the threshold, plus one. Common
+    passages come last in that order, and what no other document has comes first,
+    so unrelated documents are rarely linked.
+    """
+
+    def run(batches):
+        for batch in batches:
+            found = [shingle_set(t, size).astype(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "elements"]
+            )
+
+    sets = docs.mapInArrow(run, "node long, elements array<long>")
+    spread = stage(
+        sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("element")), "elements"
+    )
+    holders = spread.groupBy("element").agg(F.count("*").alias("holders")).where("holders > 1")
+    shared = spread.join(stage(holders, "holders"), "element")
+    own = Window.partitionBy("node")
+    # Elements that one document has come first and need no rows.
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("holders", "element"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = F.first("node").over(Window.partitionBy("element").orderBy("node"))
+    linked = shared.withColumn("place", place).where(F.col("place") <= prefix).withColumn("first", first)
+    return linked.select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
+
+
 # --- the operator ----------------------------------------------------------
 def similar_documents(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col="doc_id", text_col="text"
@@ -366,11 +413,17 @@ def similar_documents(
     near = components(links, "u", "v").withColumnRenamed("component", "nearby")
     lengths = members.where("doc_id = rep").groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n"))
     near = stage(near.join(lengths, "node"), "nearby")
-    blocks = stage(
-        near.groupBy("nearby").agg(F.ceil(F.sum("n") / _BLOCK_ELEMENTS).alias("blocks")), "nearby-blocks"
-    )
-    near = stage(near.join(blocks, "nearby").select("nearby", "node", "blocks"), "nearby-nodes")
-    gathered = stage(texts.join(near, F.col("doc_id") == F.col("node")).select("nearby", "node", "blocks", "text"), "nearby-texts")
+    near = _with_blocks(near)
+    near_texts = lambda of: texts.join(of, F.col("doc_id") == F.col("node")).drop("doc_id")
+    gathered = stage(near_texts(near.select("nearby", "node", "n", "blocks")), "nearby-texts")
+    # Neighbourhoods of several blocks are mostly chains through common passages.
+    chained = gathered.where("blocks > 1")
+    closer = rare_links(chained.select("node", "text"), size, percent)
+    closer = components(closer, "a", "b").withColumnRenamed("component", "nearby")
+    closer = _with_blocks(stage(closer.join(lengths, "node"), "closer"))
+    again = chained.select("node", "n", "text").join(closer.select("nearby", "node", "blocks"), "node")
+    gathered = gathered.where("blocks = 1").unionByName(stage(again, "closer-texts"))
+    near = near.where("blocks = 1").unionByName(closer)
 
     # First inside blocks, dealt in two ways: that settles the neighbourhoods of one
     # block, and most of the large ones whose documents are all alike.

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapledger.llm import embeddings, fingerprints, jaccard_join, mixing, packing, quality, sequence_files, sharding, token_counts, toxicity
 from snapledger.llm.encoding import vocabulary_path
+from snapledger.llm.oracle import ORACLE
 from snapledger.llm.shipping import ship_package
 from snapledger.session import new_path
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {}
-ORACLE = {}
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024

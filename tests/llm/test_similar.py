@@ -1,0 +1,242 @@
+"""Components, fingerprints, embeddings and the n-gram join against brute force."""
+
+import hashlib
+import itertools
+import math
+import random
+
+import numpy as np
+import pytest
+
+from prose import prose
+from snapledger.llm import embeddings, fingerprints, jaccard_join
+from snapledger.llm.components import components
+from snapledger.llm.queries import QUERIES
+
+
+def classes(nodes, pairs):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+@pytest.mark.parametrize("shape", ["random", "path", "star", "none"])
+def test_components(spark, shape):
+    rng = random.Random(1)
+    edges = {
+        "random": [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(150)],
+        "path": [(i, i + 1) for i in range(120)],
+        "star": [(7, i) for i in range(200)],
+        "none": [],
+    }[shape]
+    df = spark.createDataFrame([*edges, (5, None), (9, 9)], "a long, b long")
+    got = {r.node: r.component for r in components(df, "a", "b").collect()}
+    real = [(a, b) for a, b in edges if a != b]
+    assert got == classes({x for e in real for x in e}, real)
+
+
+# --- fingerprints ------------------------------------------------------------
+def signatures(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.select("doc_id", fingerprints.signatures(df.text).alias("signatures"))
+
+
+def test_signatures_follow_common_words(spark):
+    texts = ["The quick brown fox", "the, QUICK brown; dog", "the the quick brown", "", None, "?!", "??", "zz"]
+    got = [set(r.signatures) for r in signatures(spark, list(enumerate(texts))).orderBy("doc_id").collect()]
+    assert got[0] == got[1] == got[2]  # three words after the common one: the chain is two long
+    assert got[3] == got[4] and len(got[3]) == 1
+    assert len({frozenset(g) for g in (got[3], got[5], got[6], got[7])}) == 4
+
+
+def test_next_document(spark, awkward, empty):
+    rows = fingerprints.with_next(awkward).collect()
+    given = awkward.collect()
+    assert len(rows) == len(given)
+    named = sorted((r for r in given if r.doc_id is not None), key=lambda r: r.doc_id)
+    texts = [r.text or "" for r in named]
+    unnamed = [r.text or "" for r in given if r.doc_id is None]
+    next_of = {r.doc_id: t for r, t in zip(named[:-1], texts[1:])}
+    for r in rows:
+        if r.doc_id is not None and r.doc_id != 12:
+            # Of the two equal rows of 11 one is followed by the other.
+            assert r.next_text in {next_of[r.doc_id]} | ({r.text} if r.doc_id == 11 else set())
+        elif r.doc_id == 12:
+            assert r.next_text in unnamed
+    assert texts[0] in [r.next_text for r in rows if r.doc_id is None]
+    assert fingerprints.with_next(empty).count() == 0
+    one = spark.createDataFrame([(5, "a b c d")], "doc_id long, text string")
+    assert fingerprints.with_next(one).first().next_text == "a b c d"
+
+
+def test_registered_fingerprints(spark, sf):
+    docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").collect(), key=lambda r: r.doc_id)
+    got = {r.doc_id: r for r in QUERIES["op5_fingerprints"](spark, sf).collect()}
+    assert len(got) == len(docs)
+    seen = {}
+    for r, follower in zip(docs, docs[1:] + docs[:1]):
+        cut = len(r.text) // 2
+        edited = r.text[: len(r.text) - cut] + follower.text[:cut]
+        row = got[r.doc_id]
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and row.n_chars == len(r.text)
+        assert seen.setdefault(r.text, row.fingerprint) == row.fingerprint
+        assert 0 <= row.near_edited <= 1 and 0 <= row.near_next <= 1
+        own, other = ({f[i : i + 16] for i in range(0, len(f), 16)} for f in (row.fingerprint, row.edited_fingerprint))
+        assert abs(row.near_edited - len(own & other) / len(own | other)) < 1e-12
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_similar_pairs(spark, threshold):
+    rng = random.Random(2)
+    rows = []
+    for i in range(40):
+        words = prose(rng.randint(3, 60), i % 25).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(["stone", "the", "amber"])
+        rows.append((i, " ".join(words)))
+    df = signatures(spark, rows)
+    sets, kept = {}, {}
+    for r in df.orderBy("doc_id").collect():
+        sets.setdefault(frozenset(r.signatures), r.doc_id)
+    kept = {v: k for k, v in sets.items()}
+    want = {
+        (a, b) for a, b in itertools.combinations(sorted(kept), 2)
+        if len(kept[a] & kept[b]) >= threshold * len(kept[a] | kept[b])
+    }
+    assert {(r.low, r.high) for r in fingerprints.similar_pairs(df, threshold).collect()} == want
+    assert fingerprints.similar_pairs(df.limit(0), threshold).count() == 0
+
+
+# --- embeddings --------------------------------------------------------------
+@pytest.mark.parametrize("cell_rows", [2048, 20])
+def test_vectors(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(embeddings, "_CELL_ROWS", cell_rows)
+    monkeypatch.setattr(embeddings, "_BLOCK_ROWS", 16)
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(160):
+        if i % 3 == 0 or not rows:
+            v = rng.normal(size=8)
+        else:
+            v = np.array(rows[rng.integers(len(rows))][1]) * rng.uniform(0.5, 2) + rng.normal(size=8) * 0.12 * (i % 5)
+        rows.append((i, [float(np.float32(x)) for x in v], int(rng.integers(2))))
+    rows += [(200 + i, rows[0][1], rows[0][2]) for i in range(40)]
+    good = list(rows)
+    bad = [[0.0] * 8, None, [], [1.0, None] + [0.0] * 6, [math.nan] + [1.0] * 7, [math.inf] + [1.0] * 7]
+    rows += [(300 + i, v, 0) for i, v in enumerate(bad)] + [(310, rows[0][1], None), (None, rows[0][1], 0)]
+    rows += [(320, [1.0, 0.0], 0), (321, [2.0, 0.0], 0), (322, [1e-30] * 8, 1), (323, [3e38] * 8, 1)]
+    good += [(322, [1.0] * 8, 1), (323, [1.0] * 8, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumnsRenamed({})
+    df = df.selectExpr("*", "1 as rep", "2 as n", "3 as cell", "4 as home", "array(5.0) as vector")
+    links = [(320, 321)]
+    for (a, v, x), (b, w, y) in itertools.combinations(good, 2):
+        if x == y:
+            v, w = np.array(v), np.array(w)
+            if v @ w / math.sqrt(v @ v) / math.sqrt(w @ w) >= 0.98:
+                links.append((a, b))
+    want = classes([r[0] for r in rows if r[0] is not None], links)
+    counts = {}
+    for e in links:
+        for x in e:
+            counts[x] = counts.get(x, 0) + 1
+    got = embeddings.near_duplicates(df, 0.98).collect()
+    assert len(got) == len(rows) and len(links) > 900
+    for r in got:
+        if r.vec_id is None:
+            assert (r.n_links, r.component_id, r.kept) == (0, None, True)
+        else:
+            assert (r.n_links, r.component_id, r.kept) == (
+                counts.get(r.vec_id, 0), want[r.vec_id], want[r.vec_id] == r.vec_id,
+            ), r
+    assert embeddings.near_duplicates(df.limit(0), 0.98).count() == 0
+
+
+# --- n-gram join -------------------------------------------------------------
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def joined(rows, size, percent):
+    sets = [(i, shingles(t, size)) for i, t in rows if i is not None]
+    pairs = [
+        (a, b) for (a, x), (b, y) in itertools.combinations(sets, 2)
+        if x and y and 100 * len(x & y) >= percent * len(x | y)
+    ]
+    return classes([i for i, _ in sets], pairs)
+
+
+def near_copies(seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(260):
+        if i % 4 == 0:
+            words = [f"{w}{rng.randint(0, 30)}" for w in prose(rng.choice([3, 6, 12, 30, 45, 80, 300]), i).split()]
+        else:
+            words = rng.choice(rows)[1].split()
+            for _ in range(rng.choice([0, 1, 1, 2, 4, 6])):
+                words[rng.randrange(len(words))] = f"new{rng.randint(0, 99)}"
+            if rng.random() < 0.3:
+                words += [f"tail{rng.randint(0, 9)}"] * rng.randint(1, 9)
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("size", "percent", "block"), [(4, 85, 20_000), (5, 80, 20_000), (4, 85, 400), (1, 50, 400)])
+def test_join(spark, monkeypatch, size, percent, block):
+    monkeypatch.setattr(jaccard_join, "_BLOCK_ELEMENTS", block)
+    rows = near_copies(size)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in jaccard_join.similar_documents(df, size, percent).collect()}
+    want = joined(rows, size, percent)
+    assert {k: r.component_id for k, r in got.items()} == want
+    assert {k: r.n_shingles for k, r in got.items()} == {i: len(shingles(t, size)) for i, t in rows}
+    assert 1 < len(set(want.values())) < len(rows)
+
+
+def test_join_awkward(spark, awkward, empty):
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    got = jaccard_join.similar_documents(awkward, 5, 80).collect()
+    want = joined(rows, 5, 80)
+    assert len(got) == len(rows)
+    assert all(r.component_id == want.get(r.doc_id) for r in got)
+    assert want[2] == 1 and want[7] == 6
+    kept = jaccard_join.one_of_each_group(awkward, 5, 80)
+    assert kept.columns == awkward.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 0, 1, 3, 4, 5, 6, 8, 9, 10, 11, 12]
+    assert jaccard_join.similar_documents(empty).count() == 0
+    assert jaccard_join.one_of_each_group(empty).count() == 0
+
+
+def test_linked_sets_share_a_part():
+    rng = np.random.default_rng(4)
+    for percent in (80, 85):
+        bounds = jaccard_join._class_bounds(percent)
+        for _ in range(800):
+            n = int(rng.integers(1, 500))
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            drop = int(rng.integers(0, max(1, len(a) // 8) + 1))
+            fresh = rng.integers(0, 1 << 63, int(rng.integers(0, max(1, len(a) // 8) + 1)), dtype=np.uint64)
+            b = np.unique(np.concatenate([rng.permutation(a)[drop:], fresh]))
+            common = len(np.intersect1d(a, b))
+            if len(b) and (100 + percent) * common >= percent * (len(a) + len(b)):
+                parts = (jaccard_join.part_hashes(x, percent, bounds) for x in (a, b))
+                assert len(np.intersect1d(*parts))
+
+
+def test_prefix_tree_finds_what_comparing_all_finds():
+    rng = random.Random(6)
+    base = [sorted(rng.sample(range(80), rng.randint(1, 30))) for _ in range(12)]
+    sets = [sorted({x for x in rng.choice(base) if rng.random() < 0.93} | {rng.randrange(80)}) for _ in range(150)] + base
+    tree = jaccard_join.PrefixTree(sets)
+    for query in sets:
+        want = {i for i, s in enumerate(sets) if 100 * len({*s} & {*query}) >= 80 * len({*s} | {*query})}
+        assert set(tree.search(query, 80)) == want
