@@ -10,32 +10,19 @@ quantile of the perplexities of trusted documents in its language.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from snapledger.llm.shuffles import shuffle_files_removed
 from snapledger.session import stage
 
 ORDER = 4
 _START = "\x02"  # stands before a text, ORDER - 1 times
-_CHUNK_CHARS = 6_000_000
+_CHUNK_CHARS = 3_000_000
 _CHUNK_DOCS = 50_000
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffle_files_removed(spark: SparkSession):
-    """Within, each query's shuffle files go when it ends; its results are in stored tables by then."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
 
 
 # --- chunks ----------------------------------------------------------------
@@ -57,19 +44,6 @@ def _rows(batches):
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _index(batches):
-    """chunk, pos, doc_id of every row, from the lengths alone."""
-    for chunk, rows in _chunked(_rows(batches)):
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([chunk] * len(rows), pa.int64()),
-                pa.array(range(len(rows)), pa.int32()),
-                pa.array([r[0] for r in rows], pa.int64()),
-            ],
-            ["chunk", "pos", "doc_id"],
-        )
-
-
 def _packed(batches):
     """One row per chunk, its texts compressed."""
     for chunk, rows in _chunked(_rows(batches)):
@@ -93,23 +67,28 @@ _PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<lo
 def _grams(lengths: np.ndarray, size: int, texts: bytes):
     """The distinct n-grams of a chunk, the number of each place's, and the first place of each document."""
     flat = np.frombuffer(pa.decompress(texts, size, "zstd"), np.uint32)
-    flat = np.where(flat == 0, 0xFFFD, flat)
     before = ORDER - 1
-    places = np.arange(len(flat)) + before * np.repeat(np.arange(1, len(lengths) + 1), lengths)
+    # Every text has the start mark in front, ORDER - 1 times.
     codes = np.full(len(flat) + before * len(lengths), ord(_START), np.uint32)
-    codes[places] = flat
-    letters = pd.factorize(codes)[0].astype(np.int64)
+    places = np.arange(len(flat), dtype=np.int32)
+    places += np.repeat(before * np.arange(1, len(lengths) + 1, dtype=np.int32), lengths)
+    codes[places] = np.where(flat == 0, 0xFFFD, flat)
+    del flat
+    letters = pd.factorize(codes)[0].astype(np.int32)
     n_letters = int(letters.max(initial=0)) + 1
-    key, span = letters[places - before] if len(places) else letters[:0], n_letters
+    key, span = letters[places - before].astype(np.int64), n_letters
     for back in range(before - 1, -1, -1):
         if span * n_letters >= 1 << 62:
             key, names = pd.factorize(key)
             span = len(names)
-        key, span = key * n_letters + letters[places - back], span * n_letters
-    number, _ = pd.factorize(key)
+        key *= n_letters
+        key += letters[places - back]
+        span *= n_letters
+    number = pd.factorize(key)[0].astype(np.int32)
+    del key, letters
     # Each n-gram is spelled from the first place where it stands.
     n = int(number.max(initial=-1)) + 1
-    at = np.empty(n, np.int64)
+    at = np.empty(n, np.int32)
     at[number[::-1]] = places[::-1]
     spelled = np.stack([codes[at - back] for back in range(before, -1, -1)], 1) if n else np.zeros((0, ORDER), np.uint32)
     grams = np.ascontiguousarray(spelled).view(f"<U{ORDER}").ravel().tolist()
@@ -252,9 +231,9 @@ def judge_quality(
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     good = marked.where("label is not null").groupBy("doc_id").agg(F.min("label").alias("label")).where("label = 1")
     packed = rows.mapInArrow(_packed, _PACKED)
-    with _shuffle_files_removed(spark):
-        # The same cut into chunks, from lengths; the same files give the same chunks.
-        index = rows.select("doc_id", "length").mapInArrow(_index, "chunk long, pos int, doc_id long")
+    with shuffle_files_removed(spark):
+        # Each use of the packed texts runs the same plan, which gives the same chunks.
+        index = packed.select("chunk", F.posexplode("doc_ids").alias("pos", "doc_id"))
         trusted = stage(index.join(good.select("doc_id"), "doc_id").select("chunk", "pos"), "trusted")
         lists = trusted.groupBy("chunk").agg(F.sort_array(F.collect_list("pos")).alias("trusted"))
         asked = stage(

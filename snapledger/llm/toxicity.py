@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from snapledger.llm.shuffles import shuffle_files_removed
 from snapledger.session import stage
 
 BITS = 20  # 2**BITS weights
@@ -132,7 +133,8 @@ def train(
 
         learned = examples.groupBy("shard").applyInArrow(learn, "at long, z double, n double")
         met = learned.groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("k"))
-        found = met.toArrow()
+        with shuffle_files_removed(docs.sparkSession):
+            found = met.toArrow()
         state.destroy()
         at = found.column("at").to_numpy()
         # Shards that never saw a coordinate still hold its state of before.
