@@ -99,12 +99,12 @@ def sprint_version_key(spark, sf):
 
 @query
 def sprint_range(spark, sf):
-    return sprints.sprint_range(sprint_windows(spark, sf))
+    return sprints.sprint_range(I.story_snapshots(spark, sf))
 
 
 @query
 def sprint_range_current(spark, sf):
-    return sprints.sprint_range(sprint_windows_current(spark, sf), [fixed.GROUP])
+    return sprints.sprint_range(I.story_source(spark, sf), [fixed.GROUP])
 
 
 @query

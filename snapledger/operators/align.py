@@ -41,7 +41,12 @@ def _wider_decimal(a: T.DataType, b: T.DataType) -> T.DataType:
 
 
 def align(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Same columns, types and order: the left's columns, then the right's new ones."""
+    """Same columns, types and order: the left's columns, then the right's new ones.
+
+    Names match as Spark's do, without case; the left's spelling stays.
+    """
+    spelled = {c.lower(): c for c in left.columns}
+    right = right.toDF(*[spelled.get(c.lower(), c) for c in right.columns])
     types_l = {f.name: f.dataType for f in left.schema}
     types_r = {f.name: f.dataType for f in right.schema}
     target = {

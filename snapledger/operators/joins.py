@@ -12,8 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_SPREAD = 1024
-
 
 def _pairs(on) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else tuple(k) for k in on]
@@ -30,7 +28,8 @@ def left_lookup(
     """``left LEFT JOIN right``: all left columns, then the right's other columns.
 
     ``on`` holds names, or ``(left name, right name)`` pairs. Right columns whose
-    name the left already has (Spark compares names without case) get ``suffix``.
+    name the left already has (Spark compares names without case) get ``suffix``;
+    if a column of that name exists as well, it is an error.
     With ``null_safe`` a null key equals a null key; otherwise ``spread_by`` may
     name a left column that tells rows apart, for large tables whose first key is
     text and often null.
@@ -38,6 +37,12 @@ def left_lookup(
     pairs = _pairs(on)
     key_name = {r: f"__key_{i}" for i, (_, r) in enumerate(pairs)}
     taken = {c.lower() for c in left.columns}
+    new = [
+        (c + suffix if c.lower() in taken else c).lower() for c in right.columns if c not in key_name
+    ]
+    clash = sorted({c for c in new if c in taken or new.count(c) > 1})
+    if clash:
+        raise ValueError(f"columns {clash} would occur twice; choose another suffix than {suffix!r}")
     right = right.select(
         *[
             F.col(f"`{c}`").alias(
@@ -65,8 +70,7 @@ def _spread_nulls(key: Column, by: Column) -> Column:
     The stand-in only decides where the row is sent: the join also demands a
     non-null key. It is a hash and not random, so a retried task repeats it.
     """
-    stand_in = F.pmod(F.xxhash64(by), F.lit(_SPREAD)).cast("string")
-    return F.coalesce(key, F.concat(F.lit("\u0000"), stand_in))
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(by).cast("string")))
 
 
 def fallback_lookup(

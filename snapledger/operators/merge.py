@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from snapledger import fixed
-from snapledger.functions.casting import to_date, to_text
+from snapledger.functions.casting import to_date
 from snapledger.operators.align import union_aligned
 from snapledger.operators.columns import require_columns
 from snapledger.operators.joins import without_keys
@@ -26,10 +26,11 @@ def check_retention(before: int, after: int, ratio: float = fixed.MIN_RETENTION)
 def normalize_keys(
     df: DataFrame, key: str, snapshot: str = fixed.SNAPSHOT
 ) -> DataFrame:
-    """Key as stripped text, snapshot as date; both columns must exist."""
+    """Key as text, snapshot as date; both columns must exist. Keys are only cast:
+    keys that differ in surrounding white space stay two keys."""
     require_columns(df, [key, snapshot])
     return df.withColumns(
-        {key: to_text(F.col(f"`{key}`")), snapshot: to_date(F.col(f"`{snapshot}`"))}
+        {key: F.col(f"`{key}`").cast("string"), snapshot: to_date(F.col(f"`{snapshot}`"))}
     )
 
 

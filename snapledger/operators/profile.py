@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Text longer than this is compared by its SHA-256 digest, so that a distinct
-# count does not shuffle whole documents.
-_DIGEST_ABOVE = 64
-
-
 def _is_ordered(t: T.DataType) -> bool:
     return isinstance(
         t, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
     )
 
 
-def _as_text(name: str, t: T.DataType) -> Column:
-    """Equal values, and only those, give equal text."""
+def _as_bytes(name: str, t: T.DataType) -> Column:
+    """Equal values of a column, and only those, give equal bytes.
+
+    Every text, short or long, is compared by its SHA-256 digest, so that a
+    distinct count does not shuffle whole documents.
+    """
     c = F.col(f"`{name}`")
     if isinstance(t, (T.FloatType, T.DoubleType)):
-        return (c + F.lit(0.0)).cast("string")
+        return (c + F.lit(0.0)).cast("string").cast("binary")
     if isinstance(t, (T.ArrayType, T.StructType, T.MapType)):
         text = F.when(c.isNotNull(), F.to_json(F.struct(c)))
     elif isinstance(t, T.BinaryType):
@@ -27,8 +26,8 @@ def _as_text(name: str, t: T.DataType) -> Column:
     elif isinstance(t, T.StringType):
         text = c
     else:
-        return c.cast("string")
-    return F.when(F.length(text) > _DIGEST_ABOVE, F.sha2(text, 256)).otherwise(text)
+        return c.cast("string").cast("binary")
+    return F.unhex(F.sha2(text, 256))
 
 
 def _exact_uniques(df: DataFrame) -> DataFrame:
@@ -39,7 +38,7 @@ def _exact_uniques(df: DataFrame) -> DataFrame:
     counts in one aggregate would copy the whole row once per column.
     """
     values = df.select(
-        *[_as_text(f.name, f.dataType).alias(str(i)) for i, f in enumerate(df.schema)]
+        *[_as_bytes(f.name, f.dataType).alias(str(i)) for i, f in enumerate(df.schema)]
     )
     return (
         values.unpivot([], values.columns, "i", "v")
@@ -66,7 +65,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         if not exact:
             has_null = F.coalesce(F.max(c.isNull().cast("long")), F.lit(0))
             sums.append(
-                (F.approx_count_distinct(_as_text(f.name, f.dataType)) + has_null).alias(f"u{i}")
+                (F.approx_count_distinct(_as_bytes(f.name, f.dataType)) + has_null).alias(f"u{i}")
             )
 
     def line(i: int, f: T.StructField) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +24,15 @@ SETTINGS = {
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only a local session may fall back to a folder of its own machine.
+    A local session that names none uses a folder beside its warehouse.
     """
     path = spark.conf.get(_CHECKPOINT_DIR, None)
-    if path:
-        return f"{path.rstrip('/')}/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="snapledger-")
-    spark.conf.set(_CHECKPOINT_DIR, path)
-    return f"{path}/{spark.sparkContext.applicationId}"
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set(_CHECKPOINT_DIR, path)
+    return f"{path.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -53,4 +51,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     log.info("staged %s at %s", name, path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Remove the files of a table that :func:`stage` made; nothing may read it any more."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged._staged_at)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -48,22 +49,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)
 
 
-def path_size(spark: SparkSession, path: str) -> int:
-    """Bytes of a file or of everything under a folder."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there in full or not at all; it must not exist yet."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return fs.getContentSummary(hadoop).getLength()
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(hadoop.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(hadoop) or not fs.rename(temporary, hadoop):
+        fs.delete(temporary, False)
+        raise FileExistsError(path)
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a table over all cores when its scan has fewer splits than that.
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    return "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect())
 
-    A file of one row group is read by one task, and everything up to the next
-    shuffle would run in that task. Tables with enough splits, which is any large
-    one, are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:

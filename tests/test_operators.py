@@ -313,3 +313,35 @@ def test_project_with_constants(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     got = columns.project(df, ["a -> x", "b", "c"], {"c": columns.typed_null("date")})
     assert got.dtypes == [("x", "int"), ("b", "int"), ("c", "date")]
+
+
+def test_long_and_short_texts_are_counted_alike(spark):
+    import hashlib
+
+    long = "x" * 100
+    df = spark.createDataFrame([(long,), (hashlib.sha256(long.encode()).hexdigest(),)], "t string")
+    for exact in (True, False):
+        assert profile.profile(df, exact).first().UNIQUES == 2
+
+
+def test_names_that_differ_in_case_are_one_column(spark):
+    left = spark.createDataFrame([(1, 2)], "K int, Val int")
+    right = spark.createDataFrame([(3, 4)], "k int, val int")
+    got = align.union_aligned(left, right)
+    assert got.columns == ["K", "Val"] and sorted(map(tuple, got.collect())) == [(1, 2), (3, 4)]
+
+
+def test_a_suffix_that_clashes_again_is_an_error(spark):
+    left = spark.createDataFrame([(1, 2, 3)], "k int, v int, v_sum int")
+    right = spark.createDataFrame([(1, 5)], "k int, v int")
+    with pytest.raises(ValueError):
+        joins.left_lookup(left, right, ["k"], "_sum")
+
+
+def test_a_seed_draws_one_sample_for_any_partitioning(spark):
+    df = spark.range(1000)
+    one, many = (
+        sorted(r.id for r in sampling.sample_rows(df.repartition(n), 20, seed=3).collect()) for n in (1, 50)
+    )
+    assert one == many and len(set(one)) == 20
+    assert one != sorted(r.id for r in sampling.sample_rows(df, 20, seed=4).collect())

@@ -7,7 +7,6 @@ from catalog import inputs as I
 from snapledger.operators.merge import ShrinkError
 from snapledger.plans import epics, stories
 from snapledger.plans.publish import open_workspace
-from snapledger.session import stage
 from snapledger.sources import files, sinks
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.jdbc import JdbcSource, Split
@@ -46,32 +45,76 @@ def test_update_seeds_then_merges_and_is_idempotent(spark, store, tmp_path):
     recent = lambda: snaps(spark, [("a", MID, 7, 2), ("c", NEW, 7, 1)])
     unread = lambda: pytest.fail("not to be read")
     assert store.update(full, unread).count() == 3
-    old_files = files.list_folder(spark, f"{store.path}/generation=0/SNAPSHOT_DATE=1998-01-05")
+    old_folder = store.folders()["1998-01-05"]
     want = Counter([("a", OLD, 1, 1), ("a", MID, 7, 2), ("b", MID, 1, 1), ("c", NEW, 7, 1)])
     for _ in range(2):
         got = store.update(unread, recent)
         assert rows(got.select("K", "SNAPSHOT_DATE", "V", "UPDATED")) == want
     # The date that was not refetched keeps its files.
-    assert old_files == files.list_folder(spark, f"{store.path}/generation=0/SNAPSHOT_DATE=1998-01-05")
+    assert store.folders()["1998-01-05"] == old_folder
 
 
-def test_new_column_starts_a_generation(spark, store):
+def test_new_column_leaves_other_dates_alone(spark, store):
     store.seed(snaps(spark, [("a", OLD, 1, 1)]))
+    folder = store.folders()["1998-01-05"]
     got = store.merge(snaps(spark, [("b", NEW, 1, 1, "x")], SCHEMA + ", EXTRA string"))
     assert rows(got.select("K", "SNAPSHOT_DATE", "EXTRA")) == Counter([("a", OLD, None), ("b", NEW, "x")])
-    assert len(store._generations()) == 2
+    assert store.folders()["1998-01-05"] == folder
+    wider = store.merge(snaps(spark, [("c", NEW, 2.5, 1)], "K string, SNAPSHOT_DATE date, V double, UPDATED int"))
+    assert dict(wider.dtypes)["V"] == "double" and wider.count() == 3
+    assert store.folders()["1998-01-05"] != folder
 
 
-def test_unfinished_generation_is_ignored(spark, store, tmp_path):
-    store.seed(snaps(spark, [("a", OLD, 1, 1)]))
-    (tmp_path / "history" / "generation=1").mkdir()
-    assert store.read().count() == 1
+def test_success_markers_are_not_needed(spark, store, settings):
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store.update(lambda: snaps(spark, [("a", OLD, 1, 1)]), None)
+        store.update(lambda: pytest.fail("not to be read"), lambda: snaps(spark, [("b", NEW, 1, 1)]))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert store.read().count() == 2
+
+
+def test_a_merge_that_dies_before_the_manifest_changes_nothing(spark, store, monkeypatch):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+    recent = snaps(spark, [("a", MID, 2, 2), ("b", MID, 2, 2)])
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(HistoryStore, "_commit", die)
+        with pytest.raises(KeyboardInterrupt):
+            store.merge(recent)
+    columns = ["K", "SNAPSHOT_DATE", "V", "UPDATED"]
+    assert rows(store.read().select(columns)) == Counter([("a", OLD, 1, 1), ("a", MID, 1, 1)])
+    want = Counter([("a", OLD, 1, 1), ("a", MID, 2, 2), ("b", MID, 2, 2)])
+    assert rows(store.merge(recent).select(columns)) == want
+
+
+def test_a_source_that_lost_rows_takes_none_from_the_store(spark, store):
+    store.seed(snaps(spark, [(f"k{i}", OLD, i, i) for i in range(100)]))
+    fewer = snaps(spark, [("k1", OLD, 0, 0)])
+    assert store.merge(fewer).count() == 100
+    with pytest.raises(ShrinkError):
+        store.seed(fewer)
+    assert store.read().count() == 100
+    assert store.seed(fewer, force=True).count() == 1
+    store.clean(keep=1)
+    assert store.read().count() == 1 and len(files.list_folder(spark, f"{store.path}/manifest")) == 1
+
+
+def test_no_seed_over_data_without_a_manifest(spark, store):
+    snaps(spark, [("a", OLD, 1, 1)]).write.parquet(f"{store.path}/data/BATCH=x")
+    with pytest.raises(RuntimeError):
+        store.update(lambda: snaps(spark, [("b", OLD, 1, 1)]), None)
+    assert store.update(lambda: snaps(spark, [("b", OLD, 1, 1)]), None, force=True).count() == 1
 
 
 def test_guard_stops_before_anything_changes(spark, store):
     """Cached repeats collapse in the merge, here written past the seed."""
     many = snaps(spark, [(f"k{i % 50}", OLD, i, i) for i in range(100)])
-    store._write(many, 0)
+    store._commit(*store._write(many))
     recent = snaps(spark, [(f"k{i}", OLD, 0, 0) for i in range(50)])
     with pytest.raises(ShrinkError):
         store.merge(recent)
@@ -79,13 +122,8 @@ def test_guard_stops_before_anything_changes(spark, store):
     assert store.merge(recent, force=True).count() == 50
 
 
-def test_dates_can_be_replaced_again_from_a_staged_copy(spark, store):
-    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
-    merged = stage(snaps(spark, [("a", MID, 2, 2), ("b", MID, 2, 2)]), "merged")
-    for _ in range(2):
-        store.replace_dates(merged)
-        got = store.read().select("K", "SNAPSHOT_DATE", "V", "UPDATED")
-        assert rows(got) == Counter([("a", OLD, 1, 1), ("a", MID, 2, 2), ("b", MID, 2, 2)])
+def test_keys_that_differ_in_white_space_stay_two(spark, store):
+    assert store.seed(snaps(spark, [("a", OLD, 1, 1), (" a", OLD, 2, 2)])).count() == 2
 
 
 def test_merge_of_nothing(spark, store):
@@ -171,17 +209,10 @@ def test_one_large_date_is_written_as_several_files(spark, tmp_path, settings):
     )
     store = HistoryStore(spark, str(tmp_path / "h"), "K")
     store.seed(df)
-    hot = files.list_folder(spark, f"{store.path}/generation=0/SNAPSHOT_DATE=1998-02-02")
+    hot = files.list_folder(spark, f"{store.path}/data/{store.folders()['1998-02-02']}")
     assert len([p for p in hot if p.endswith(".parquet")]) > 1
 
 
-def test_widen(spark, sf):
-    one = spark.range(0, 100, 1, 1)
-    assert files.widen(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 64)
-    assert files.widen(many) is many
-
-
 def test_jdbc_options():
     """Options only: no database is started for a test."""
     source = JdbcSource("jdbc:x:y", "(select 1) t", Split("D", "1998-01-01", "1998-03-01", 8), options={"fetchsize": "1000"})
