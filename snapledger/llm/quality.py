@@ -21,8 +21,9 @@ from snapledger.session import stage
 
 ORDER = 4
 _START = "\x02"  # stands before a text, ORDER - 1 times
-_CHUNK_CHARS = 3_000_000
+_CHUNK_CHARS = 4_000_000
 _CHUNK_DOCS = 50_000
+_CODEC = pa.Codec("zstd", compression_level=6)
 
 
 # --- chunks ----------------------------------------------------------------
@@ -48,7 +49,7 @@ def _packed(batches):
     """One row per chunk, its texts compressed."""
     for chunk, rows in _chunked(_rows(batches)):
         ids, langs, hashes, texts, lengths = zip(*rows)
-        raw = "".join(texts).encode("utf-32-le", "surrogatepass")
+        raw = "".join(texts).encode("utf-8", "surrogatepass")
         row = {
             "chunk": pa.array([chunk], pa.int64()),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())),
@@ -56,7 +57,7 @@ def _packed(batches):
             "hashes": pa.array([hashes], pa.list_(pa.int64())),
             "lengths": pa.array([lengths], pa.list_(pa.int32())),
             "size": pa.array([len(raw)], pa.int64()),
-            "texts": pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary()),
+            "texts": pa.array([_CODEC.compress(raw, asbytes=True)], pa.binary()),
         }
         yield pa.RecordBatch.from_pydict(row)
 
@@ -66,7 +67,8 @@ _PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<lo
 
 def _grams(lengths: np.ndarray, size: int, texts: bytes):
     """The distinct n-grams of a chunk, the number of each place's, and the first place of each document."""
-    flat = np.frombuffer(pa.decompress(texts, size, "zstd"), np.uint32)
+    text = _CODEC.decompress(texts, size, asbytes=True).decode("utf-8", "surrogatepass")
+    flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     before = ORDER - 1
     # Every text has the start mark in front, ORDER - 1 times.
     codes = np.full(len(flat) + before * len(lengths), ord(_START), np.uint32)

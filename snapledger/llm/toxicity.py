@@ -3,9 +3,8 @@
 Features of a text are the hashed n-grams of its words, the skip-grams of words
 with one word between them, and the beginnings of its words, each present or not.
 The weights are learned by the per-coordinate FTRL-proximal rule, whose L1 term
-leaves most of them at zero, on shards of labelled rows at once; after each epoch
-the shards' states are averaged. What is left is a short list of weights, which
-goes to every task.
+leaves most of them at zero, on shards of labelled rows at once, whose states are
+then averaged. What is left is a short list of weights, which goes to every task.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from snapledger.llm.shuffles import shuffle_files_removed
 from snapledger.session import stage
 
 BITS = 20  # 2**BITS weights
@@ -76,7 +74,7 @@ class Ftrl:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, most_rows: int = 24_000, shards: int = 8, epochs: int = 3, seed: int = 0,
+    docs: DataFrame, labels: DataFrame, most_rows: int = 24_000, shard_rows: int = 3_000, epochs: int = 3, seed: int = 0,
     id_col="doc_id", text_col="text", label_col="toxic",
 ) -> np.ndarray:
     """Weights learned from rows of ``docs`` that ``labels`` marks 0 or 1.
@@ -101,48 +99,29 @@ def train(
     # At most most_rows pairs of numbers.
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
 
-    def featurize(batches):
-        for batch in batches:
-            found = [features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))],
-                ["doc_id", "label", "at"],
-            )
-
-    examples = stage(
-        rows.mapInArrow(featurize, "doc_id long, label double, at array<int>")
-        .withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards))),
-        "toxicity-examples",
-    )
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for epoch in range(epochs):
-        used = np.flatnonzero((z != 0) | (n != 0))
-        # At most 2**BITS coordinates, whatever the data.
-        state = docs.sparkSession.sparkContext.broadcast((used, z[used], n[used]))
-
-        def learn(table: pa.Table) -> pa.Table:
-            at, was_z, was_n = state.value  # noqa: B023
-            model = Ftrl(np.zeros(1 << BITS), np.zeros(1 << BITS))
-            model.z[at], model.n[at] = was_z, was_n
-            order = np.random.default_rng([seed, epoch]).permutation(len(table))  # noqa: B023
-            table = table.sort_by("doc_id").take(pa.array(order))
-            for label, where in zip(table.column("label").to_pylist(), table.column("at")):
-                model.learn(where.values.to_numpy(), label, 1.0)
-            at = np.flatnonzero(model.n)
-            return pa.table({"at": pa.array(at, pa.int64()), "z": model.z[at], "n": model.n[at]})
-
-        learned = examples.groupBy("shard").applyInArrow(learn, "at long, z double, n double")
-        met = learned.groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("k"))
-        with shuffle_files_removed(docs.sparkSession):
-            found = met.toArrow()
-        state.destroy()
-        at = found.column("at").to_numpy()
-        # Shards that never saw a coordinate still hold its state of before.
-        missing = shards - found.column("k").to_numpy()
-        before_z, before_n = z[at].copy(), n[at].copy()
-        z[at] = (found.column("z").to_numpy() + missing * before_z) / shards
-        n[at] = (found.column("n").to_numpy() + missing * before_n) / shards
-    return Ftrl(z, n).weights()
+    # A shard learns enough by itself, so the average is of models that agree.
+    shards = -(-chosen.count() // shard_rows) or 1
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)))
+
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        examples = [*zip(map(features, table.column("text").to_pylist()), table.column("label").to_pylist())]
+        model = Ftrl(np.zeros(1 << BITS), np.zeros(1 << BITS))
+        order = np.random.default_rng(seed)
+        for _ in range(epochs):
+            for i in order.permutation(len(examples)).tolist():
+                model.learn(*examples[i], 1.0)
+        at = np.flatnonzero(model.n)
+        return pa.table({"at": pa.array(at, pa.int64()), "z": model.z[at], "n": model.n[at]})
+
+    learned = dealt.groupBy("shard").applyInArrow(learn, "at long, z double, n double")
+    # At most 2**BITS coordinates, whatever the data; a shard that never saw one holds zeros.
+    found = learned.groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
+    model = Ftrl(np.zeros(1 << BITS), np.zeros(1 << BITS))
+    at = found.column("at").to_numpy()
+    model.z[at] = found.column("z").to_numpy() / shards
+    model.n[at] = found.column("n").to_numpy() / shards
+    return model.weights()
 
 
 def with_score(docs: DataFrame, weights: np.ndarray, text_col="text", name="score") -> DataFrame:
@@ -179,7 +158,9 @@ def score(docs: DataFrame, weights: np.ndarray, id_col="doc_id", text_col="text"
 def harmless_documents(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col="doc_id", text_col="text", **training
 ) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns; all rows if nothing was learned."""
     weights = train(docs, labels, id_col=id_col, text_col=text_col, **training)
+    if not weights.any():
+        return docs
     scored = with_score(docs, weights, text_col, "_toxicity")
     return scored.where(F.col("_toxicity") < threshold).select(*docs.columns)
