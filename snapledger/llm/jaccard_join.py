@@ -414,8 +414,9 @@ def similar_documents(
     lengths = members.where("doc_id = rep").groupBy(F.col("rep").alias("node")).agg(F.max("n").alias("n"))
     near = stage(near.join(lengths, "node"), "nearby")
     near = _with_blocks(near)
-    near_texts = lambda of: texts.join(of, F.col("doc_id") == F.col("node")).drop("doc_id")
-    gathered = stage(near_texts(near.select("nearby", "node", "n", "blocks")), "nearby-texts")
+    # The list of nodes grows with the documents: a shuffle at every size, no broadcast.
+    wanted = near.select("nearby", "node", "n", "blocks").hint("merge")
+    gathered = stage(texts.join(wanted, F.col("doc_id") == F.col("node")).drop("doc_id"), "nearby-texts")
     # Neighbourhoods of several blocks are mostly chains through common passages.
     chained = gathered.where("blocks > 1")
     closer = rare_links(chained.select("node", "text"), size, percent)
