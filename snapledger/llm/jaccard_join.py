@@ -29,7 +29,7 @@ from snapledger.session import stage
 
 _BLOCK_ELEMENTS = 20_000
 _FLUSH = 2_000_000  # part hashes held by a task before it hands them on
-_KEEP_WORDS = 300_000
+_KEEP_WORDS = 60_000
 
 _WORDS: dict[bytes, int] = {}
 _MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -24,7 +24,7 @@ BITS = 20  # 2**BITS weights
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.5, 0.1
 
 _WORD = re.compile(r"[^\W_]+")
-_KEEP_WORDS = 300_000
+_KEEP_WORDS = 60_000
 _STEMS = (4, 5)
 _CODES: dict[str, np.ndarray] = {}
 
