@@ -5,7 +5,8 @@ place of a text. Texts are packed into chunks of bounded size. A chunk names its
 distinct n-grams once; counts of trusted text, the model's tables and the
 probabilities that the chunks ask for are tables keyed by n-gram and joined by it,
 so that no task ever holds the model. A document's perplexity is held against a
-quantile of the perplexities of trusted documents in its language.
+quantile of the perplexities of trusted documents of its language and about its
+length, as those of short texts vary far more than those of long ones.
 """
 
 from __future__ import annotations
@@ -119,6 +120,7 @@ _SCORED = pa.schema(
         ("doc_id", pa.int64()),
         ("lang", pa.string()),
         ("row_hash", pa.int64()),
+        ("length", pa.int32()),
         ("perplexity", pa.float64()),
     ]
 )
@@ -146,6 +148,7 @@ def _scored(packed: pa.Table, answers: pa.Table) -> pa.Table:
                     "doc_id": pa.array(ids, pa.int64()),
                     "lang": pa.array(langs, pa.string()),
                     "row_hash": pa.array(hashes, pa.int64()),
+                    "length": pa.array(lengths, pa.int32()),
                     "perplexity": perplexity,
                 }
             )
@@ -216,12 +219,13 @@ def judge_quality(
     """doc_id, lang, row_hash, perplexity, threshold, keep: one row per row of ``docs``.
 
     Trusted are the documents whose id has only labels of 1 in ``labels``; all of
-    them are learned from. A document is kept if its perplexity is at most the
-    ``quantile`` of the trusted ones in its language, a null language being one of
-    its own. A language without trusted text has no threshold and keeps its
-    documents. A null or empty text has no perplexity and is not kept. Rows that
-    repeat an id, or have none, are judged each; an empty table gives no rows;
-    other columns are ignored.
+    them are learned from. Lengths are banded by powers of two characters. A
+    document is kept if its perplexity is at most the ``quantile`` of the trusted
+    ones of its language in its band and the two beside it, or in all bands if
+    those three hold none; a null language is one of its own. A language without
+    trusted text has no threshold and keeps its documents. A null or empty text has
+    no perplexity and is not kept. Rows that repeat an id, or have none, are judged
+    each; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -233,6 +237,7 @@ def judge_quality(
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     good = marked.where("label is not null").groupBy("doc_id").agg(F.min("label").alias("label")).where("label = 1")
     packed = rows.mapInArrow(_packed, _PACKED)
+    band = F.length(F.bin(F.col("length").cast("long")))
     with shuffle_files_removed(spark):
         # Each use of the packed texts runs the same plan, which gives the same chunks.
         index = packed.select("chunk", F.posexplode("doc_ids").alias("pos", "doc_id"))
@@ -249,19 +254,28 @@ def judge_quality(
         scores = stage(
             packed.groupBy("chunk")
             .cogroup(answered.groupBy("chunk"))
-            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash long, perplexity double"),
+            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash long, length int, perplexity double"),
             "perplexities",
         )
+        near = F.array(band - 1, band, band + 1, F.lit(None))  # null: all bands of the language
         limits = stage(
             scores.join(trusted, ["chunk", "pos"])
-            .groupBy("lang")
+            .where("perplexity is not null")
+            .select("lang", "perplexity", F.explode(near).alias("band"))
+            .groupBy("lang", "band")
             .agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold")),
             "thresholds",
         )
-    limits = limits.withColumnRenamed("lang", "of")
+    banded = limits.where("band is not null").select(
+        F.col("lang").alias("of"), F.col("band").alias("near"), F.col("threshold").alias("banded")
+    )
+    whole = limits.where("band is null").select(F.col("lang").alias("of_all"), F.col("threshold").alias("whole"))
     keep = F.coalesce(F.col("perplexity") <= F.coalesce("threshold", F.lit(float("inf"))), F.lit(False))
-    return scores.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select(
-        "doc_id", "lang", "row_hash", "perplexity", "threshold", keep.alias("keep")
+    return (
+        scores.join(banded, F.col("lang").eqNullSafe(F.col("of")) & (band == F.col("near")), "left")
+        .join(whole, F.col("lang").eqNullSafe(F.col("of_all")), "left")
+        .withColumn("threshold", F.coalesce("banded", "whole"))
+        .select("doc_id", "lang", "row_hash", "perplexity", "threshold", keep.alias("keep"))
     )
 
 

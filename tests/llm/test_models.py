@@ -148,6 +148,18 @@ def test_quality_awkward(spark, awkward, empty):
     assert all(r.keep == (r.perplexity is not None) for r in unlabelled)
 
 
+def test_short_trusted_texts_do_not_excuse_long_junk(spark):
+    turned = lambda text: " ".join(w if k % 30 else w[::-1] for k, w in enumerate(text.split()))
+    good = [prose(150 + i, i) for i in range(60)] + ["Xj.", "Qz k", "Vw-y"]
+    junk = [turned(prose(150 + i, 100 + i)) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(good + junk)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 63)) for i in range(83)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.judge_quality(docs, labels).collect()}
+    short = max(got[i].perplexity for i in (60, 61, 62))
+    assert all(got[i].perplexity < short for i in range(63, 83))  # one quantile of all would keep the junk
+    assert not any(got[i].keep for i in range(63, 83)) and all(got[i].keep for i in range(63))
+
+
 # --- the pipeline ------------------------------------------------------------
 def test_pipeline_stages(spark, sf, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_copies", "mix", "pack"]
