@@ -109,6 +109,23 @@ def least_capacity(sizes: list[tuple[int, int]], n_shards: int) -> int:
     return high
 
 
+def even_shards(sizes: list[tuple[int, int]], n_shards: int) -> list:
+    """Runs (size, first, count, shard) that fill ``n_shards`` shards as evenly as whole groups allow.
+
+    Each group above the even share of what is left has a shard of its own, the
+    largest first; the rest is packed at the least capacity for the other shards.
+    """
+    rest, total = sorted(sizes), sum(size * n for size, n in sizes)
+    runs, used = [], 0
+    # Fewer groups than shards can be above the even share, so some shards stay for the rest.
+    while rest and rest[-1][0] * (n_shards - used) > total:
+        size, n = rest.pop()
+        runs += [(size, k, 1, used + k) for k in range(n)]
+        used, total = used + n, total - n * size
+    packed, _ = best_fit_decreasing(rest, least_capacity(rest, n_shards - used)) if rest else ([], 0)
+    return runs + [(size, first, n, used + shard) for size, first, n, shard in packed]
+
+
 # --- the operator ----------------------------------------------------------
 def shard_documents(
     docs: DataFrame, n_shards: int | None = None, capacity: int | None = None, id_col="doc_id", text_col="text"
@@ -116,8 +133,8 @@ def shard_documents(
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot.
 
     With ``capacity`` (bytes), as few shards as best-fit decreasing needs; with
-    ``n_shards``, the least capacity that does with so many, which makes their
-    sizes near equal as far as groups allow. ``size`` is the text's UTF-8 bytes
+    ``n_shards``, so many of near equal sizes as far as groups allow: a group above
+    the even share has a shard of its own, and the others share the rest evenly. ``size`` is the text's UTF-8 bytes
     plus 1; a null text counts as the empty text and is in its group. ``slot``
     numbers the rows of a shard from 0. Repeated rows are rows of their own, null
     ids are kept, an empty table gives no rows, other columns are ignored.
@@ -139,8 +156,7 @@ def shard_documents(
 
     def pack(batches):
         held = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
-        limit = capacity if capacity is not None else least_capacity(held, n_shards)
-        runs, _ = best_fit_decreasing(held, limit)
+        runs = even_shards(held, n_shards) if capacity is None else best_fit_decreasing(held, capacity)[0]
         columns = zip(*runs) if runs else [[]] * 4
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int64()) for c in columns], ["group_size", "first", "count", "shard"]

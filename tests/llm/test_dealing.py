@@ -114,6 +114,25 @@ def test_shards(spark, sf, awkward, name):
         assert max(sizes.values()) <= 1.01 * sum(sizes.values()) / 8
 
 
+def test_large_groups_have_shards_of_their_own(spark):
+    texts = [f"{i:06d}" + "x" * (i % 150) for i in range(6000)]
+    total = sum(len(t) + 1 for t in texts)
+    third = total // 2 // 100  # copies of 99 characters, a third of all bytes
+    rows = [(i, t) for i, t in enumerate(texts + ["c" * 99] * third)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), n_shards=8)
+    sizes = sorted(r[1] for r in got.groupBy("shard").sum("size").collect())
+    assert len(sizes) == 8 and sum(sizes) == total + 100 * third
+    assert sizes[-1] == 100 * third and sizes[-2] <= 1.01 * total / 7 and sizes[0] >= 0.99 * total / 7
+    for held in ([(50, 2), (1, 700)], [(9, 20)], [(7, 3)], [(5, 9), (100, 1)], [(1000, 1), (300, 1), (1, 60)], []):
+        for n_shards in (1, 2, 5, 8):
+            runs = sharding.even_shards(held, n_shards)
+            assert sum(s * n for s, _, n, _ in runs) == sum(s * n for s, n in held)
+            assert all(0 <= shard < n_shards for *_, shard in runs)
+            for size, n in held:
+                places = sorted(f + k for s, f, c, _ in runs if s == size for k in range(c))
+                assert places == list(range(n))
+
+
 def test_fixed_capacity_and_empty(spark, awkward, empty):
     got = sharding.shard_documents(awkward, capacity=2000).groupBy("shard").sum("size").collect()
     # The two texts that are larger have a shard each.
