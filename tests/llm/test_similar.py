@@ -57,6 +57,18 @@ def test_signatures_follow_common_words(spark):
     assert len({frozenset(g) for g in (got[3], got[5], got[6], got[7])}) == 4
 
 
+def test_late_words_are_read(spark):
+    plain = [f"wort{i}" for i in range(60)]
+    led = "und " + " ".join(plain[:7]) + " und wort9"
+    texts = [" ".join(plain), " ".join(plain[:57] + ["anders"] + plain[58:]), " ".join(plain[:59] + ["anders"])]
+    texts += [led, led.replace("wort4", "anders"), led.replace("wort6", "anders")]
+    texts += ["eins zwei drei", "eins zwei vier"]
+    got = [set(r.signatures) for r in signatures(spark, list(enumerate(texts))).orderBy("doc_id").collect()]
+    assert len({frozenset(g) for g in got}) == len(texts)
+    assert len(got[0]) == 30 and len(got[0] & got[1]) == len(got[0] & got[2]) == 29
+    assert len(got[3]) == 5 and len(got[3] & got[4]) == len(got[3] & got[5]) == 4
+
+
 def test_next_document(spark, awkward, empty):
     rows = fingerprints.with_next(awkward).collect()
     given = awkward.collect()
