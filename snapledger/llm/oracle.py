@@ -60,3 +60,17 @@ select d.doc_id, cast(coalesce(sizes.n, 0) as bigint) as n_shingles,
        least(d.doc_id, coalesce(classes.component_id, d.doc_id)) as component_id
 from documents d left join classes on classes.node = d.doc_id left join sizes on sizes.doc_id = d.doc_id
 """
+
+ORACLE["op13_exact_top_k"] = """
+with sound as materialized (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+    from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+    from sound q join sound c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored)
+select query_id, cast(place as integer) as rank, vec_id, score from ranked where place <= 5
+"""

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapledger.llm import embeddings, fingerprints, jaccard_join, mixing, packing, quality, sequence_files, sharding, token_counts, toxicity
+from snapledger.llm import (
+    alignment, embeddings, exact_search, fingerprints, jaccard_join, mixing, packing, quality, sequence_files, sharding,
+    token_counts, toxicity, whitening,
+)
 from snapledger.llm.encoding import vocabulary_path
 from snapledger.llm.oracle import ORACLE
 from snapledger.llm.shipping import ship_package
@@ -15,6 +18,7 @@ __all__ = ["ORACLE", "QUERIES"]
 QUERIES = {}
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1024
 
 
@@ -126,3 +130,34 @@ def op7_toxicity(spark, sf):
 @query
 def op8_quality_classifier(spark, sf):
     return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_tokenizer_alignment(spark, sf):
+    aligned = alignment.align_documents(
+        table(spark, sf, "documents"), vocabulary_path(TOKENIZER), vocabulary_path(PIECES)
+    )
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+    )
+
+
+@query
+def op12_embedding_whitening(spark, sf):
+    whitened = whitening.whiten(table(spark, sf, "embeddings"), components=16, scale=64, offset=1_000_000)
+    each = F.posexplode(F.arrays_zip("z", "explained")).alias("at", "of")
+    return whitened.select("id", "n", "deviation", "identity_error", each).select(
+        F.col("id").alias("vec_id"),
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.nanvl("of.z", F.lit(None).cast("double")).alias("whitened"),
+        F.col("of.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+@query
+def op13_exact_top_k(spark, sf):
+    return exact_search.exact_top_k(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)

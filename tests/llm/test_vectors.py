@@ -1,0 +1,148 @@
+"""Exact search and whitening against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from snapledger.llm import whitening
+from snapledger.llm.exact_search import exact_top_k
+from snapledger.llm.queries import QUERIES
+from snapledger.llm.whitening import whiten
+
+SCHEMA = "vec_id long, embedding array<float>, label int, x long, z long, id string, n int, weight long"
+
+
+def frame(spark, rows):
+    rows = [(i, v if v is None else [c if c is None else float(c) for c in v]) for i, v in rows]
+    return spark.createDataFrame([(i, v, None, None, None, None, None, None) for i, v in rows], SCHEMA)
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v)
+
+
+def nearest(rows, is_query, k, scale=256):
+    kept = {}
+    for i, v in rows:
+        if i is not None and usable(v):
+            v = tuple(math.floor(scale * float(np.float32(c))) for c in v)
+            kept[i] = min(kept.get(i, v), v, key=lambda t: t)
+    out = set()
+    for q in kept:
+        if is_query(q):
+            others = [
+                (-sum(a * b for a, b in zip(kept[q], v)), i)
+                for i, v in kept.items() if i != q and len(v) == len(kept[q])
+            ]
+            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(others)[:k])}
+    return out
+
+
+def found(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.mark.parametrize("blocks", [(8192, 4096, 4096), (7, 30, 8), (3, 11, 2)])
+def test_top_k_with_ties_and_odd_vectors(spark, blocks):
+    blocks = dict(zip(("block_queries", "block_rows", "bins"), blocks))
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 1.0]) for _ in range(4)]) for i in range(120)]
+    rows += [(200 + i, [1.0, 1.0, 1.0, 1.0]) for i in range(60)]
+    rows += [(300, None), (305, []), (310, [math.nan, 0, 0, 0]), (315, [1.0, None, 0, 0]), (320, [math.inf, 0, 0, 0])]
+    rows += [(None, [1.0, 1, 1, 1]), (5, [0.5, 0.5, 0.5, 0.5]), (5, [0.5, 0.5, 0.5, 0.5])]
+    rows += [(400, [1.0, 2.0]), (401, [1.0, 2.0]), (402, [3.0, -1.0]), (405, [7.0])]
+    got = found(exact_top_k(frame(spark, rows), F.col("id") % 5 == 0, k=5, **blocks))
+    assert got == nearest(rows, lambda q: q % 5 == 0, 5)
+
+
+def test_top_k_of_great_numbers(spark):
+    """Scores beyond 2^53 are whole numbers too."""
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1e6, 1e6) for _ in range(3)]) for i in range(40)] + [(50, [1e30, 0.0, 0.0])]
+    assert found(exact_top_k(frame(spark, rows), F.col("id") % 4 == 0, k=3)) == nearest(rows[:-1], lambda q: q % 4 == 0, 3)
+
+
+def test_top_k_of_nothing(spark):
+    assert exact_top_k(frame(spark, []), F.col("id") % 5 == 0).dtypes == [
+        ("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")
+    ]
+    assert exact_top_k(frame(spark, [(1, [1.0])]), F.col("id") % 5 == 0).isEmpty()
+    assert exact_top_k(frame(spark, [(1, [1.0]), (2, [1.0])]), F.col("id") % 5 == 0).isEmpty()
+
+
+def by_hand(rows, counts):
+    """Covariance, deviations and whitened vectors with numpy over all rows at once."""
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for _, v in rows], np.int64)
+    fit = x if counts else np.unique(x, axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = (fit - sums / n)
+    centred -= centred.mean(axis=0)
+    v = centred.T @ centred / n
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1], u[:, ::-1]
+    return n, ((n * x - sums) ** 2).sum(axis=1), np.abs(((x - sums / n) @ u) / np.sqrt(e)), e / v.trace()
+
+
+@pytest.mark.parametrize("weights", ["one", "counts"])
+def test_whitening_equals_brute_force(spark, weights):
+    rng = np.random.default_rng(5)
+    mix = rng.normal(size=(6, 6))
+    rows = [(i, (rng.normal(size=6) @ mix).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[3][1]) for i in range(200)]  # a hot vector
+    odd = [(None, rows[0][1]), (7, rows[1][1]), (7, rows[1][1])]
+    left_out = [(2000, None), (2001, []), (2002, [math.nan] * 6), (2003, [None] * 6), (2004, [math.inf] * 6)]
+    got = whiten(frame(spark, rows + odd + left_out), components=4, weights=weights).collect()
+    n, deviation, z, explained = by_hand(rows + odd, weights == "counts")
+    assert len(got) == len(rows + odd)
+    want = {}
+    for (i, _), d, w in zip(rows + odd, deviation, z):
+        want.setdefault(i, []).append((d, w[:4]))
+    for r in got:
+        assert r.n == n and len(r.z) == 4
+        assert any(r.deviation == d and np.allclose(np.abs(r.z), w, rtol=1e-6, atol=1e-9) for d, w in want[r.id])
+        assert np.allclose(r.explained, explained[:4], rtol=1e-9)
+        assert r.identity_error < 1e-9
+    assert len({tuple(r.z) for r in got if r.id is not None and (r.id == 3 or r.id >= 1000)}) == 1
+
+
+def test_whitening_without_variance_and_by_length(spark):
+    rows = [(i, [1.0, 2.0 * (i % 3), 2.0 * (i % 3)]) for i in range(9)] + [(20, [4.0, 5.0]), (21, [4.0, 5.0])]
+    got = {r.id: r for r in whiten(frame(spark, rows), components=16).collect()}
+    assert len(got) == 11 and {len(r.z) for r in got.values()} == {2, 3}
+    assert got[0].n == 3 and got[20].n == 1
+    assert not math.isnan(got[0].z[0]) and math.isnan(got[0].z[1]) and got[0].explained[0] == pytest.approx(1)
+    assert all(math.isnan(z) for z in got[20].z) and got[20].explained == [None, None] and got[20].identity_error is None
+    assert got[20].deviation == 0 and got[0].identity_error < 1e-9
+
+
+def test_whitening_of_great_numbers(spark):
+    rows = [(i, [float(2**40 * i), 1.0]) for i in range(4)] + [(9, [1e30, 1.0])]
+    got = {r.id: r for r in whiten(frame(spark, rows)).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(r.deviation is None for r in got.values())  # beyond a long
+    assert whiten(frame(spark, [])).isEmpty()
+    with pytest.raises(ValueError):
+        whiten(frame(spark, rows), weights="some")
+
+
+def test_most_lengths(spark):
+    rows = [(i, [1.0] * (i + 1)) for i in range(65)]
+    with pytest.raises(ValueError, match="lengths"):
+        whiten(frame(spark, rows))
+
+
+def test_registered_whitening(spark, sf):
+    got = QUERIES["op12_embedding_whitening"](spark, sf).collect()
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    n, deviation, z, explained = by_hand(rows, counts=False)
+    assert len(got) == 16 * len(rows)
+    at = {i: j for j, (i, _) in enumerate(rows)}
+    for r in got:
+        assert (r.n, r.deviation) == (n, deviation[at[r.vec_id]])
+        assert abs(r.whitened) == pytest.approx(z[at[r.vec_id]][r.component - 1], rel=1e-6, abs=1e-8)
+        assert r.explained == pytest.approx(explained[r.component - 1], rel=1e-9) and r.identity_error < 1e-9
+    assert whitening._HOT_SHARE == 200
