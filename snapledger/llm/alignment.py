@@ -106,7 +106,7 @@ class Aligner:
         both = []
         for tool in self.tools:
             ids = tool.encode(word)
-            if b"".join([tool.bytes[i] for i in ids]) != want:
+            if b"".join(map(tool.bytes.__getitem__, ids)) != want:
                 return None
             both.append(ids)
         return tuple(both)
@@ -190,14 +190,21 @@ class Words:
         self._write_texts(order, word_of_group, sides, ids, names)
 
     def _write_texts(self, order, word_of_group, sides, ids, names):
-        a, b = ([name[i] for i in side.tolist()] for name, side in zip(names, ids))
-        groups, i, j = [], 0, 0
-        for n_a, n_b in zip(*(s.tolist() for s in sides)):
-            left = a[i] if n_a == 1 else ",".join(a[i : i + n_a])
-            right = b[j] if n_b == 1 else ",".join(b[j : j + n_b])
-            groups.append(f"{left}|{right}")
-            i += n_a
-            j += n_b
+        a, b = ids
+        from_a, from_b = (np.cumsum(n) - n for n in sides)
+        groups = np.empty(len(from_a), object)
+        # Most groups are one token of each; every different pair is written once.
+        single = (sides[0] == 1) & (sides[1] == 1)
+        pairs, which = np.unique(a[from_a[single]] << 32 | b[from_b[single]], return_inverse=True)
+        written = [f"{names[0][x]}|{names[1][y]}" for x, y in zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist())]
+        groups[single] = np.array(written, object)[which]
+        name_a, name_b = (name.__getitem__ for name in names)
+        rest = np.flatnonzero(~single)
+        spans = zip(rest.tolist(), *(x[rest].tolist() for x in (from_a, sides[0], from_b, sides[1])))
+        for g, i, n_a, j, n_b in spans:
+            left, right = map(name_a, a[i : i + n_a].tolist()), map(name_b, b[j : j + n_b].tolist())
+            groups[g] = f"{','.join(left)}|{','.join(right)}"
+        groups = groups.tolist()
         bounds = np.searchsorted(word_of_group, np.arange(len(order) + 1)).tolist()
         for word, x, y in zip(order.tolist(), bounds, bounds[1:]):
             self.texts[word] = groups[x] if y - x == 1 else ";".join(groups[x:y])
@@ -310,7 +317,7 @@ def align_documents(
     path_b: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chunk_chars: int = 8_000_000,
+    chunk_chars: int = 4_000_000,
 ) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups: one row per row of ``docs``.
 
