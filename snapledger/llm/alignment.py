@@ -16,8 +16,6 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapledger.session import stage
 
-_RUN_CHARS = 500_000
+_RUN_CHARS = 250_000
+_SLICE = 500  # rows of a batch made Python objects at once
 _COMPRESSION = "zstd"
 
 # The space inside a run of white space, and where words end.
@@ -149,83 +148,111 @@ class Aligner:
 
 
 class Words:
-    """Per word: numbers of tokens, groups and links, the groups as text, the id pairs linked."""
+    """The groups of many words, each different group once.
+
+    ``word_groups`` lists the groups of word 0, of word 1 and so on, as numbers;
+    ``n_groups`` says how many each word has. Of a group: its text, how many tokens
+    of A and B it holds, and its links, as numbers into ``pairs``.
+    """
 
     def __init__(self, n, valid, order, word_ends, ids, lengths, names):
         self.valid = valid
-        self.n_a, self.n_b, self.n_groups, self.n_links = (np.zeros(n, np.int64) for _ in range(4))
-        self.texts = [""] * n
+        self.lengths = lengths
+        self.n_groups = np.zeros(n, np.uint32)
+        self.word_groups = np.zeros(0, np.uint32)
+        self.texts = []
+        self.sizes = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.n_links = np.zeros(0, np.uint32)
+        self.links = np.zeros(0, np.uint32)
         self.pairs = np.zeros(0, np.int64)
-        self.pair_word = np.zeros(0, np.int64)
-        if not len(order):
-            return
-        ends = [np.cumsum(size[i]) for size, i in zip(lengths, ids)]
-        starts = [end - size[i] for end, size, i in zip(ends, lengths, ids)]
-        a, b = ids
-        start, end = np.concatenate(starts), np.concatenate(ends)
-        of_b = np.repeat([False, True], [len(a), len(b)])
+        if len(order):
+            group_start, sides = self._coalesce(ids, lengths)
+            word = np.searchsorted(word_ends, group_start, side="right")
+            count = np.bincount(word, minlength=len(order))
+            self.n_groups[order] = count
+            numbers = self._number(sides, ids, names)
+            # Words were encoded in another order than they are numbered in.
+            by_number = np.argsort(order, kind="stable")
+            first = np.cumsum(count) - count
+            many = count[by_number]
+            along = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[by_number], many)
+            self.word_groups = numbers[along].astype(np.uint32)
+
+    @staticmethod
+    def _coalesce(ids, lengths):
+        """Where each group starts, and how many tokens of A and of B it holds."""
+        sizes = [size[i] for size, i in zip(lengths, ids)]
+        end = np.concatenate([np.cumsum(s) for s in sizes])
+        start = end - np.concatenate(sizes)
+        of_b = np.repeat([False, True], [len(s) for s in sizes])
         along = np.lexsort((end, start))
         start, end, of_b = start[along], end[along], of_b[along]
         reach = np.maximum.accumulate(end)
         opens = np.ones(len(start), bool)
         opens[1:] = start[1:] >= reach[:-1]
         group = np.cumsum(opens) - 1
-        # Tokens of one side keep their order, so the groups of each side are runs.
-        sides = [np.bincount(group[~of_b], minlength=group[-1] + 1), np.bincount(group[of_b], minlength=group[-1] + 1)]
-        word_of_group = np.searchsorted(word_ends, start[opens], side="right")
-        word_of_token = [np.searchsorted(word_ends, s, side="right") for s in starts]
-        # A token of A overlaps the tokens of B from the one that holds its first byte to the one that holds its last.
-        first = np.searchsorted(ends[1], starts[0], side="right")
-        last = np.searchsorted(starts[1], ends[0], side="left")
-        many = last - first
-        at_a = np.repeat(np.arange(len(a)), many)
-        at_b = np.arange(len(at_a)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
-        self.pairs = a[at_a] << 32 | b[at_b]
-        self.pair_word = order[word_of_token[0][at_a]]
-        for out, word in (
-            (self.n_a, word_of_token[0]), (self.n_b, word_of_token[1]),
-            (self.n_groups, word_of_group), (self.n_links, word_of_token[0][at_a]),
-        ):
-            out[order] = np.bincount(word, minlength=len(order))
-        self._write_texts(order, word_of_group, sides, ids, names)
-
-    def _write_texts(self, order, word_of_group, sides, ids, names):
+        n = int(group[-1]) + 1
+        return start[opens], (np.bincount(group[~of_b], minlength=n), np.bincount(group[of_b], minlength=n))
+
+    def _number(self, sides, ids, names):
+        """The number of every group; fills in what is known of each different one."""
+        # Tokens of one side keep their order, so a group is a run of each side.
         a, b = ids
         from_a, from_b = (np.cumsum(n) - n for n in sides)
-        groups = np.empty(len(from_a), object)
-        # Most groups are one token of each; every different pair is written once.
         single = (sides[0] == 1) & (sides[1] == 1)
-        pairs, which = np.unique(a[from_a[single]] << 32 | b[from_b[single]], return_inverse=True)
-        written = [f"{names[0][x]}|{names[1][y]}" for x, y in zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist())]
-        groups[single] = np.array(written, object)[which]
-        name_a, name_b = (name.__getitem__ for name in names)
+        singles, which = np.unique(a[from_a[single]] << 32 | b[from_b[single]], return_inverse=True)
+        numbers = np.empty(len(from_a), np.int64)
+        numbers[single] = which
+        members = [((x,), (y,)) for x, y in zip((singles >> 32).tolist(), (singles & 0xFFFFFFFF).tolist())]
+        several: dict = {}
         rest = np.flatnonzero(~single)
-        spans = zip(rest.tolist(), *(x[rest].tolist() for x in (from_a, sides[0], from_b, sides[1])))
-        for g, i, n_a, j, n_b in spans:
-            left, right = map(name_a, a[i : i + n_a].tolist()), map(name_b, b[j : j + n_b].tolist())
-            groups[g] = f"{','.join(left)}|{','.join(right)}"
-        groups = groups.tolist()
-        bounds = np.searchsorted(word_of_group, np.arange(len(order) + 1)).tolist()
-        for word, x, y in zip(order.tolist(), bounds, bounds[1:]):
-            self.texts[word] = groups[x] if y - x == 1 else ";".join(groups[x:y])
-
-
-_STAGED = """chunk string, doc_id long, words binary, n_words long, texts array<string>, numbers binary,
-    links binary, link_words binary, pairs array<long>, counts array<long>"""
+        spans = zip(*(x[rest].tolist() for x in (from_a, sides[0], from_b, sides[1])))
+        numbers[rest] = [
+            several.setdefault((a[i : i + m].tobytes(), b[j : j + n].tobytes()), len(members) + len(several))
+            for i, m, j, n in spans
+        ]
+        members += [tuple(tuple(np.frombuffer(x, np.int64).tolist()) for x in both) for both in several]
+        self.texts = ["|".join([",".join(map(n.__getitem__, x)) for n, x in zip(names, both)]) for both in members]
+        self.sizes = [np.array([len(both[side]) for both in members], np.int32) for side in (0, 1)]
+        self._link(members)
+        return numbers
+
+    def _link(self, members):
+        """Links of the different groups: within each, a token of A overlaps the tokens
+        of B from the one that holds its first byte to the one that holds its last."""
+        flat = [np.array([i for both in members for i in both[side]], np.int64) for side in (0, 1)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.lengths, flat)]
+        starts = [end - size[i] for end, size, i in zip(ends, self.lengths, flat)]
+        first = np.searchsorted(ends[1], starts[0], side="right")
+        many = np.searchsorted(starts[1], ends[0], side="left") - first
+        at_a = np.repeat(np.arange(len(flat[0])), many)
+        at_b = np.arange(len(at_a)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+        group = np.repeat(np.arange(len(members)), self.sizes[0])[at_a]
+        self.n_links = np.bincount(group, minlength=len(members)).astype(np.uint32)
+        self.pairs, links = np.unique(flat[0][at_a] << 32 | flat[1][at_b], return_inverse=True)
+        self.links = links.astype(np.uint32)
+
+
+_STAGED = """chunk string, doc_id long, words binary, n_words long, texts array<string>, sizes binary,
+    links binary, n_groups binary, word_groups binary, pairs array<long>, counts array<long>"""
 _FIELDS = [
     ("chunk", pa.string()), ("doc_id", pa.int64()), ("words", pa.binary()), ("n_words", pa.int64()),
-    ("texts", pa.list_(pa.string())), ("numbers", pa.binary()), ("links", pa.binary()), ("link_words", pa.binary()),
-    ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
+    ("texts", pa.list_(pa.string())), ("sizes", pa.binary()), ("links", pa.binary()),
+    ("n_groups", pa.binary()), ("word_groups", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
 ]
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).tobytes(), codec=_COMPRESSION, asbytes=True)
+    """Whole numbers below 2^32: first bytes, second bytes and so on, compressed."""
+    planes = np.ascontiguousarray(values, np.uint32).view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), codec=_COMPRESSION, asbytes=True)
 
 
-def _unpack(packed: bytes, n: int, kind) -> np.ndarray:
-    size = n * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(packed, size, codec=_COMPRESSION), kind) if n else np.zeros(0, kind)
+def _unpack(packed: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec=_COMPRESSION), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1).astype(np.int64)
 
 
 def _table(rows: dict) -> pa.RecordBatch:
@@ -236,33 +263,38 @@ def _table(rows: dict) -> pa.RecordBatch:
 
 
 def _encode_chunk(aligner: Aligner, chunk: str, ids: list, texts: list):
-    """One row a text with the numbers of its words, and one row with the tables of the chunk's words."""
-    cut = [words_of(t) if t else [] for t in texts]
-    numbers = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+    """One row a text with the numbers of its words, and one row with the tables of the chunk's words and groups."""
+    numbers: dict[str, int] = {}
+    at = []
+    for text in texts:
+        words = words_of(text) if text else []
+        for word in words:
+            if word not in numbers:
+                numbers[word] = len(numbers)
+        at.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
     found = aligner.align(list(numbers))
-    at = [array("I", map(numbers.__getitem__, words)) for words in cut]
+    del numbers
     # A text with a word whose bytes differ has no tokens.
-    valid = found.valid
-    at = [np.frombuffer(a, np.uint32) if len(a) else np.zeros(0, np.uint32) for a in at]
-    at = [a if valid[a].all() else a[:0] for a in at]
+    at = [a if found.valid[a].all() else a[:0] for a in at]
     yield _table(
         {"chunk": [chunk] * len(ids), "doc_id": ids, "words": [_pack(a) for a in at], "n_words": [len(a) for a in at]}
     )
-    times = np.bincount(np.concatenate(at), minlength=len(valid)) if at else np.zeros(len(valid), np.int64)
-    pairs, where = np.unique(found.pairs, return_inverse=True)
-    counts = np.zeros(len(pairs), np.int64)
-    np.add.at(counts, where, times[found.pair_word])
-    table = {
-        "chunk": [chunk],
-        "n_words": [len(valid)],
-        "texts": [found.texts],
-        "numbers": [_pack(np.stack([found.n_a, found.n_b, found.n_groups, found.n_links]).astype(np.int32))],
-        "links": [_pack(where.astype(np.uint32))],
-        "link_words": [_pack(found.pair_word.astype(np.uint32))],
-        "pairs": [pairs],
-        "counts": [counts],
-    }
-    yield _table(table)
+    times = np.bincount(np.concatenate(at), minlength=len(found.valid))
+    times = np.bincount(found.word_groups, np.repeat(times, found.n_groups), minlength=len(found.texts))
+    counts = np.bincount(found.links, np.repeat(times, found.n_links), minlength=len(found.pairs))
+    yield _table(
+        {
+            "chunk": [chunk],
+            "n_words": [len(found.valid)],
+            "texts": [found.texts],
+            "sizes": [_pack(np.concatenate([*found.sizes, found.n_links]))],
+            "links": [_pack(found.links)],
+            "n_groups": [_pack(found.n_groups)],
+            "word_groups": [_pack(found.word_groups)],
+            "pairs": [found.pairs],
+            "counts": [counts.astype(np.int64)],
+        }
+    )
 
 
 def _encode(path_a: str, path_b: str, chunk_chars: int):
@@ -270,13 +302,15 @@ def _encode(path_a: str, path_b: str, chunk_chars: int):
         aligner, part = Aligner(path_a, path_b), TaskContext.get().partitionId()
         ids, texts, size, n = [], [], 0, 0
         for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids.append(i)
-                texts.append(text)
-                size += len(text or "")
-                if size >= chunk_chars:
-                    yield from _encode_chunk(aligner, f"{part}-{n}", ids, texts)
-                    ids, texts, size, n = [], [], 0, n + 1
+            for start in range(0, batch.num_rows, _SLICE):
+                some = batch.slice(start, _SLICE)
+                for i, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
+                    ids.append(i)
+                    texts.append(text)
+                    size += len(text or "")
+                    if size >= chunk_chars:
+                        yield from _encode_chunk(aligner, f"{part}-{n}", ids, texts)
+                        ids, texts, size, n = [], [], 0, n + 1
         if ids:
             yield from _encode_chunk(aligner, f"{part}-{n}", ids, texts)
 
@@ -284,30 +318,39 @@ def _encode(path_a: str, path_b: str, chunk_chars: int):
 
 
 def _finish(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The texts of one chunk, from the tables of its words and the counts of its pairs."""
+    """The texts of one chunk, from the tables of its words and groups and the counts of its pairs."""
     table = left.filter(left.column("texts").is_valid()).to_pylist()[0]
-    docs = left.filter(left.column("texts").is_null())
-    n = table["n_words"]
-    n_a, n_b, n_groups, n_links = _unpack(table["numbers"], 4 * n, np.int32).reshape(4, n).astype(np.int64)
-    total = int(n_links.sum())
-    where = _unpack(table["links"], total, np.uint32)
-    word = _unpack(table["link_words"], total, np.uint32)
-    pairs = np.array(table["pairs"], np.int64)
+    docs = left.filter(left.column("texts").is_null()).select(["doc_id", "words", "n_words"])
+    n, texts, pairs = table["n_words"], table["texts"], np.array(table["pairs"], np.int64)
+    n_a, n_b, n_links = _unpack(table["sizes"], 3 * len(texts)).reshape(3, -1)
+    links = _unpack(table["links"], int(n_links.sum()))
     count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
     place = np.searchsorted(pairs, right.column("pair").to_numpy())
     count[place] = right.column("n").to_numpy()
-    best[place] = right.column("best").to_numpy(zero_copy_only=False)
-    sums, bests = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    np.add.at(sums, word, count[where])
-    np.add.at(bests, word, best[where])
-    texts = table["texts"]
-    rows, groups = [], []
-    for packed, size in zip(docs.column("words").to_pylist(), docs.column("n_words").to_pylist()):
-        at = _unpack(packed, size, np.uint32)
-        rows.append([int(x[at].sum()) for x in (n_a, n_b, n_groups, n_links, bests, sums)])
-        groups.append(";".join([texts[i] for i in at.tolist()]))
+    best[place] = right.column("best").to_numpy()
+
+    def add_up(values, sizes):
+        """Sums of runs of ``values``; runs may be empty."""
+        upto = np.concatenate([[0], np.cumsum(values)])
+        stop = np.cumsum(sizes)
+        return upto[stop] - upto[stop - sizes]
+
+    n_groups = _unpack(table["n_groups"], n)
+    word_groups = _unpack(table["word_groups"], int(n_groups.sum()))
+    of_group = (n_a, n_b, np.ones(len(texts), np.int64), n_links, add_up(best[links], n_links), add_up(count[links], n_links))
+    of_word = np.stack([add_up(values[word_groups], n_groups) for values in of_group])
+    stops = np.cumsum(n_groups).tolist()
+    held = [texts[g] for g in word_groups.tolist()]
+    word_texts = [held[b - k] if k == 1 else ";".join(held[b - k : b]) for b, k in zip(stops, n_groups.tolist())]
+    del held
+    sums, groups = [], []
+    for words, size in zip(docs.column("words").to_pylist(), docs.column("n_words").to_pylist()):
+        at = _unpack(words, size)
+        sums.append(of_word[:, at].sum(axis=1))
+        groups.append(";".join([word_texts[i] for i in at.tolist()]))
+    sums = np.array(sums, np.int64).reshape(-1, 6)
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    columns = {name: pa.array([r[i] for r in rows], pa.int64()) for i, name in enumerate(names)}
+    columns = {name: pa.array(sums[:, i], pa.int64()) for i, name in enumerate(names)}
     return pa.table({"doc_id": docs.column("doc_id")} | columns | {"groups": pa.array(groups, pa.string())})
 
 
@@ -317,7 +360,7 @@ def align_documents(
     path_b: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chunk_chars: int = 4_000_000,
+    chunk_chars: int = 3_000_000,
 ) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups: one row per row of ``docs``.
 
