@@ -186,6 +186,13 @@ def story_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stale(snapshots: DataFrame, column: str, value: str) -> DataFrame:
+    """Dated rows as they were before the last date was added: the date before it is stale in ``column``."""
+    last, before = SNAPSHOTS[-1][1], SNAPSHOTS[-2][1]
+    rows = snapshots.where(f"SNAPSHOT_DATE < date'{last}'")
+    return rows.withColumn(column, F.expr(f"if(SNAPSHOT_DATE = date'{before}', {value}, {column})"))
+
+
 def cached_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature snapshots as stored before a merge; the last date is stale."""
     return issue_history(spark, sf_dir).where("ISSUE_TYPE = 'Feature' and K <= 4").selectExpr(

@@ -50,16 +50,22 @@ def _flatten(view: str, dated: bool) -> str:
     def day(upper: str, lower: str) -> str:
         return f" and {upper}.SNAPSHOT_DATE = {lower}.SNAPSHOT_DATE" if dated else ""
 
-    def level(kind: str) -> str:
-        return f"(select * from {view} where ISSUE_TYPE = '{kind}')"
-
-    return f"""
+    def level(name: str, kind: str, columns: str) -> str:
+        dates = "SNAPSHOT_DATE, " if dated else ""
+        return f"""{name} as materialized (
+            select {dates}ISSUE_KEY, PARENT_KEY, SUMMARY, {columns} from {view} where ISSUE_TYPE = '{kind}')"""
+
+    return f"""with {level('ep', 'Epic', 'ESTIMATE, OPEN_ESTIMATE')},
+    {level('ft', 'Feature', 'ESTIMATE, OPEN_ESTIMATE, SWAG, PROGRAM_PRIORITY, FIX_VERSION')},
+    {level('sc', 'Sub-Capability', 'ESTIMATE')},
+    {level('cc', 'Customer Capability', 'ESTIMATE')},
+    {level('ce', 'Customer Epic', 'ESTIMATE')}
     select {'ep.SNAPSHOT_DATE,' if dated else ''} ep.ISSUE_KEY as EPIC_KEY, {_FLAT_SELECT}
-    from {level('Epic')} ep
-    left join {level('Feature')} ft on ft.ISSUE_KEY = ep.PARENT_KEY{day('ft', 'ep')}
-    left join {level('Sub-Capability')} sc on sc.ISSUE_KEY = ft.PARENT_KEY{day('sc', 'ft')}
-    left join {level('Customer Capability')} cc on cc.ISSUE_KEY = sc.PARENT_KEY{day('cc', 'sc')}
-    left join {level('Customer Epic')} ce on ce.ISSUE_KEY = cc.PARENT_KEY{day('ce', 'cc')}
+    from ep
+    left join ft on ft.ISSUE_KEY = ep.PARENT_KEY{day('ft', 'ep')}
+    left join sc on sc.ISSUE_KEY = ft.PARENT_KEY{day('sc', 'ft')}
+    left join cc on cc.ISSUE_KEY = sc.PARENT_KEY{day('cc', 'sc')}
+    left join ce on ce.ISSUE_KEY = cc.PARENT_KEY{day('ce', 'cc')}
     """
 
 
@@ -289,6 +295,12 @@ def _releases(source: str, where: str) -> str:
     from parts join span on parts.FEATURE_KEY = span.FEATURE_KEY"""
 
 
+_EVENT_KINDS = [
+    ("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+    ("event_type", "string"), ("value", "double"), ("props", "string"),
+]
+
+
 def _profile(view: str, columns: list[tuple[str, str]]) -> str:
     """``columns``: (name, type as Spark prints it)."""
     ordered = {"bigint", "int", "double", "date", "timestamp_ntz"}
@@ -392,12 +404,14 @@ _BODIES = {
         + _latest("fx_story_history", "ISSUE_KEY SNAPSHOT_DATE", "UPDATED",
                   "STORY_POINTS SPRINT_NAME STATUS") + ")",
     "without_refetched": """
-        select c.* from fx_cached_history c
-        where not exists (select 1 from fx_recent_history r
-                          where r.ISSUE_KEY = c.ISSUE_KEY and r.SNAPSHOT_DATE = c.SNAPSHOT_DATE)""",
+        select c.* from fx_cached_history c anti join fx_recent_history r
+          on r.ISSUE_KEY = c.ISSUE_KEY and r.SNAPSHOT_DATE = c.SNAPSHOT_DATE""",
     "snapshot_merge": f"{_MERGED} select {_MERGED_COLUMNS}, SUMMARY from one",
     "history_store_merge": f"{_MERGED} select {_MERGED_COLUMNS}, SUMMARY from one",
     "history_store_refresh": f"{_MERGED} select {_MERGED_COLUMNS} from one",
+    "history_store_stats": f"""{_MERGED}
+        select SNAPSHOT_DATE, count(*) as ROW_COUNT, min(ISSUE_KEY) as LEAST_KEY, max(ISSUE_KEY) as GREATEST_KEY
+        from one group by SNAPSHOT_DATE""",
     "merge_retention": f"""{_MERGED}
         select *, ROWS_AFTER >= ROWS_BEFORE * 0.98 as ACCEPTED from (
             select (select count(*) from fx_cached_history) as ROWS_BEFORE,
@@ -485,10 +499,7 @@ _BODIES = {
         ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
         ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
     ]),
-    "table_profile_events": _profile("events", [
-        ("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
-        ("event_type", "string"), ("value", "double"), ("props", "string"),
-    ]),
+    "table_profile_events": _profile("events", _EVENT_KINDS),
     "table_profile_documents": _profile("documents", [
         ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
         ("n_chars", "bigint"),
@@ -520,8 +531,25 @@ _BODIES = {
     "parquet_round_trip": _AGILE_DATED,
     "stories_table": _STORIES,
     "stories_report_stored": _STORIES,
+    "stories_report_incremental": _STORIES,
     "epics_table": _EPICS,
     "epics_report_stored": _EPICS,
+    "epics_report_incremental": _EPICS,
+    "release_diagnostics": f"""{_EPICS_WITH}
+        select count(*) as ROW_COUNT, count(*) - count(SNAPSHOT_DATE) as SNAPSHOT_DATE,
+               count(*) - count(FEATURE_KEY) as FEATURE_KEY,
+               count(*) - count(SUBCAPABILITY_KEY) as SUBCAPABILITY_KEY
+        from marked""",
+    "sprint_null_rate": " union all ".join(
+        f"""select '{name}' as SPRINTS, count(*) as ROW_COUNT, count(*) - count(v) as NULLS,
+                   (count(*) - count(v)) / count(*) > 0.1 as WARNED
+            from (select {_AT_END} as v from ({windows}))"""
+        for name, windows in (("dated", _WINDOWS), ("current", _WINDOWS_NOW))
+    ),
+    "table_schema": " union all ".join(
+        f"select cast({i} as integer) as POSITION, '{name}' as COLUMN_NAME, '{kind}' as DATA_TYPE"
+        for i, (name, kind) in enumerate(_EVENT_KINDS)
+    ),
     "epics_release_range": f"{_EPICS_WITH}, {_releases('marked', 's.SNAPSHOT_DATE is null and')}",
     "published_tables": """
         select h.SNAPSHOT_DATE, count(*) as FEATURES, count(s.FEATURE_ID) as WITH_STORIES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from catalog import inputs as I
 from snapledger import fixed
@@ -12,7 +12,7 @@ from snapledger.operators import (
 )
 from snapledger.plans import epics, stories
 from snapledger.plans.publish import open_workspace
-from snapledger.session import new_path
+from snapledger.session import new_path, stage
 from snapledger.sources import files, sinks
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.workspace import Workspace
@@ -217,6 +217,15 @@ def history_store_refresh(spark, sf):
     return store.merge(I.recent_history(spark, sf).drop("SUMMARY"))
 
 
+@query
+def history_store_stats(spark, sf):
+    """What the manifest states of each date after a seed and a merge."""
+    store = _feature_store(spark)
+    store.seed(I.cached_history(spark, sf))
+    store.merge(I.recent_history(spark, sf))
+    return store.stats()
+
+
 # --- calendar and gaps -----------------------------------------------------
 @query
 def snapshot_calendar(spark, sf):
@@ -311,17 +320,31 @@ def release_range(spark, sf):
     return releases.release_range(flat.toDF(*map(text.title_name, flat.columns)))
 
 
+def _counts(spark, counts: dict[str, int]) -> DataFrame:
+    names = {"rows": "ROW_COUNT"}
+    columns = [names.get(c, c.upper().replace(" ", "_")) for c in counts]
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in columns))
+
+
 @query
 def release_null_counts(spark, sf):
-    """Nulls in the columns the release range filters on."""
+    """Nulls in the columns the release range filters on, counted while the rows are staged."""
+    seen = Observation()
     flat = hierarchy_flatten_snapshots(spark, sf)
-    return flat.agg(
-        F.count(F.lit(1)).alias("ROW_COUNT"),
-        *[
-            F.count_if(F.col(c).isNull()).alias(c)
-            for c in (fixed.SNAPSHOT, "FEATURE_KEY", "SUBCAPABILITY_KEY")
-        ],
-    )
+    stage(releases.release_nulls(flat, [fixed.SNAPSHOT, "FEATURE_KEY", "SUBCAPABILITY_KEY"], seen), "flat")
+    return _counts(spark, seen.get)
+
+
+@query
+def sprint_null_rate(spark, sf):
+    """Sprints without a version among all distinct ones, counted while they are staged."""
+    found = []
+    for name, windows in (("dated", sprint_windows(spark, sf)), ("current", sprint_windows_current(spark, sf))):
+        rows, seen = sprints.observe_versions(windows)
+        stage(rows, "sprints")
+        warned = sprints.warn_if_unparsed(seen) > fixed.NULL_RATE_WARNING
+        found.append((name, seen.get["rows"], seen.get["nulls"], warned))
+    return spark.createDataFrame(found, "SPRINTS string, ROW_COUNT long, NULLS long, WARNED boolean")
 
 
 # --- profile, SQL, files -----------------------------------------------------
@@ -403,6 +426,11 @@ def random_sample(spark, sf):
     return Workspace(spark, {"events": I.table(spark, sf, "events")}).sample("events", 50, seed=7)
 
 
+@query
+def table_schema(spark, sf):
+    return Workspace(spark, {"events": I.table(spark, sf, "events")}).schema("events")
+
+
 @query
 def folder_tables(spark, sf):
     """Every table file of the folder with its row and column count."""
@@ -492,6 +520,41 @@ def epics_report_stored(spark, sf):
     return report.run(new_path(spark, "epics"), new_path(spark, "releases"))[0]
 
 
+@query
+def release_diagnostics(spark, sf):
+    """What a run of the report counts while it is written."""
+    report = epics.EpicsReport(
+        I.story_source(spark, sf), I.story_snapshots(spark, sf),
+        I.issue_current(spark, sf), I.issue_history(spark, sf),
+        epics.EpicsReport.store_at(spark, new_path(spark, "epic-history")), I.AS_OF,
+    )
+    run = report.run(new_path(spark, "epics"), new_path(spark, "releases"))
+    return _counts(spark, run.diagnostics["report"])
+
+
+@query
+def stories_report_incremental(spark, sf):
+    """A first version over an older history, then an incremental run after a merge."""
+    source, snapshots = I.story_source(spark, sf), I.story_snapshots(spark, sf)
+    issues, dated = I.issue_current(spark, sf), I.issue_history(spark, sf)
+    store = stories.StoriesReport.store_at(spark, new_path(spark, "story-history"))
+    output = new_path(spark, "stories")
+    stories.StoriesReport(source, I.stale(snapshots, "STATUS", "'Open'"), issues, dated, store, I.AS_OF).run_incremental(output)
+    return stories.StoriesReport(source, snapshots, issues, dated, store, I.AS_OF).run_incremental(output)
+
+
+@query
+def epics_report_incremental(spark, sf):
+    """A first version over an older history, then an incremental run after a merge."""
+    source, snapshots = I.story_source(spark, sf), I.story_snapshots(spark, sf)
+    issues, dated = I.issue_current(spark, sf), I.issue_history(spark, sf)
+    store = epics.EpicsReport.store_at(spark, new_path(spark, "epic-history"))
+    paths = new_path(spark, "epics"), new_path(spark, "releases")
+    older = I.stale(dated, "OPEN_ESTIMATE", "OPEN_ESTIMATE + 1.0D")
+    epics.EpicsReport(source, snapshots, issues, older, store, I.AS_OF).run_incremental(*paths)
+    return epics.EpicsReport(source, snapshots, issues, dated, store, I.AS_OF).run_incremental(*paths).epics
+
+
 @query
 def published_tables(spark, sf):
     """SQL over the published report and its stored history."""

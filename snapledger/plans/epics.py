@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from snapledger import fixed
 from snapledger.functions.casting import coerce, to_date
@@ -13,17 +14,25 @@ from snapledger.functions.dates import now_literal
 from snapledger.functions.text import title_name
 from snapledger.operators.align import union_aligned
 from snapledger.operators.columns import rename_all
+from snapledger.operators.fingerprint import date_checksums, table_checksum
 from snapledger.operators.gapfill import fill_missing_snapshots
 from snapledger.operators.hierarchy import flatten_hierarchy, recent_rows
 from snapledger.operators.joins import assert_unique, fallback_lookup, left_lookup
-from snapledger.operators.releases import release_range
+from snapledger.operators.releases import release_nulls, release_range
 from snapledger.operators.rollup import rollup_estimates
-from snapledger.operators.sprints import sprint_summary, summary_current, summary_range
+from snapledger.operators.sprints import (
+    observe_versions, sprint_summary, sprint_windows, summary_current, summary_range, warn_if_unparsed,
+)
+from snapledger.plans.incremental import find_changes, run_changes
 from snapledger.session import stage
 from snapledger.sources.history import HistoryStore
+from snapledger.sources.reports import ReportFolder
 from snapledger.sources.sinks import write_report
 
 RANGE = ["MIN_SPRINT", "MAX_SPRINT"]
+RELEASE_COLUMNS = ["Snapshot Date", "Feature Key", "Subcapability Key"]
+# What a roll-up by date reads of a story.
+ROLLUP_COLUMNS = ["FEATURE_ID", fixed.GROUP, "STORY_POINTS", "STATUS", "BEGIN_DATE", "END_DATE"]
 CURRENT = ["CURRENT_SPRINT"]
 
 
@@ -86,7 +95,8 @@ class SprintLookups:
 
 
 def sprint_lookups(
-    stories: DataFrame, snapshots: DataFrame, today: date, staged: bool = True
+    stories: DataFrame, snapshots: DataFrame, today: date, staged: bool = True,
+    seen: dict[str, Observation] | None = None,
 ) -> SprintLookups:
     """All four lookups. History rows too are matched with the sprint containing
     ``today``, not their own snapshot date.
@@ -94,7 +104,12 @@ def sprint_lookups(
     Each story table is read once and combined before the shuffle to a summary of
     a few rows per group, which is staged. Its true size tells the planner whether
     the lookups may be broadcast; the tables they are joined to then stay put.
+    With ``seen`` the distinct sprints are made first, and their names without a
+    version are counted into it while the summaries are staged.
     """
+    if seen is not None:
+        snapshots, seen["dated sprints"] = observe_versions(sprint_windows(snapshots, fixed.SNAPSHOT))
+        stories, seen["current sprints"] = observe_versions(sprint_windows(stories))
     keep = stage if staged else (lambda df, name: df)
     dated = keep(sprint_summary(snapshots, today), "sprints-history")
     plain = keep(sprint_summary(stories, today, [fixed.GROUP]), "sprints-current")
@@ -133,6 +148,7 @@ def epics_marked(
     as_of: datetime,
     strict: bool = False,
     dates_from: DataFrame | None = None,
+    known: list | None = None,
 ) -> DataFrame:
     """The report with current rows still marked by a null snapshot date.
 
@@ -142,7 +158,7 @@ def epics_marked(
     """
     current = coerce(current, fixed.EPIC_TYPES).distinct()
     history = coerce(history, fixed.EPIC_TYPES)
-    filled = fill_missing_snapshots(current, history, as_of, dates_from=dates_from)
+    filled = fill_missing_snapshots(current, history, as_of, dates_from=dates_from, known=known)
     filled = filled.withColumn(fixed.SNAPSHOT, to_date(F.col(fixed.SNAPSHOT)))
     if strict:
         lookups.check_unique()
@@ -160,6 +176,15 @@ def fill_snapshot(marked: DataFrame) -> DataFrame:
     )
 
 
+class EpicsRun(NamedTuple):
+    """The written tables, and counts by what was counted: rows and nulls of sprint
+    names without a version, and of the columns the release range filters on."""
+
+    epics: DataFrame
+    releases: DataFrame
+    diagnostics: dict[str, dict[str, int]]
+
+
 @dataclass
 class EpicsReport:
     """Sources, history and outputs of the report; sources as in
@@ -187,22 +212,74 @@ class EpicsReport:
         """(epics, release ranges). The release ranges need current rows only; the
         filter on the null snapshot date removes the history branch from their
         plan, so nothing has to be kept between the two tables."""
-        marked = epics_marked(
+        marked = self._marked(self.update_history(force), self.story_snapshots, self._lookups(), strict)
+        return fill_snapshot(marked), release_range(marked)
+
+    def _lookups(self, seen: dict[str, Observation] | None = None) -> SprintLookups:
+        return sprint_lookups(self.stories, self.story_snapshots, self.as_of.date(), seen=seen)
+
+    def _marked(
+        self, history: DataFrame, story_snapshots: DataFrame, lookups: SprintLookups, strict: bool
+    ) -> DataFrame:
+        return epics_marked(
             epic_current(self.issues),
-            self.update_history(force),
+            history,
             agile_current(self.stories),
-            agile_history(self.story_snapshots),
-            sprint_lookups(self.stories, self.story_snapshots, self.as_of.date()),
+            agile_history(story_snapshots),
+            lookups,
             self.as_of,
             strict,
+            known=self.store.days(),
         )
-        return fill_snapshot(marked), release_range(marked)
 
     def run(
         self, epics_path: str, releases_path: str, force: bool = False, strict: bool = False
-    ) -> tuple[DataFrame, DataFrame]:
-        epics, releases = self.build(force, strict)
-        return (
+    ) -> EpicsRun:
+        """Both tables written, and what was counted on the way: no pass of its own."""
+        seen: dict[str, Observation] = {}
+        marked = self._marked(self.update_history(force), self.story_snapshots, self._lookups(seen), strict)
+        seen["report"] = Observation()
+        epics = fill_snapshot(release_nulls(marked, RELEASE_COLUMNS, seen["report"]))
+        return EpicsRun(
             write_report(epics, epics_path, "Snapshot Date"),
-            write_report(releases, releases_path),
+            write_report(release_range(marked), releases_path),
+            _diagnostics(seen),
         )
+
+    def run_incremental(
+        self, epics_path: str, releases_path: str, force: bool = False, strict: bool = False
+    ) -> EpicsRun:
+        """As :meth:`run`, but of the epics only the dates whose stored history,
+        stories or sprints have changed since the last incremental version are
+        read and written; see :mod:`snapledger.plans.incremental`. The release
+        ranges, which have no dates, are always written. The diagnostics of the
+        report count the rows written."""
+        self.update_history(force)
+        report = ReportFolder(self.store.spark, epics_path)
+        seen: dict[str, Observation] = {}
+        lookups = self._lookups(seen)
+        stories = self.story_snapshots.select(fixed.SNAPSHOT, *ROLLUP_COLUMNS)
+        dated = [stories, lookups.range_history, lookups.current_history]
+        changes = find_changes(
+            report, self.store, self.as_of,
+            [date_checksums(df, fixed.SNAPSHOT) for df in dated],
+            [table_checksum(df) for df in (lookups.range_current, lookups.current_current)],
+        )
+        marked = None
+
+        def build(days: list) -> DataFrame:
+            nonlocal marked
+            snapshots = self.story_snapshots.where(to_date(F.col(fixed.SNAPSHOT)).isin(days))
+            marked = self._marked(self.store.read(days), snapshots, lookups, strict)
+            seen["report"] = Observation()
+            return fill_snapshot(release_nulls(marked, RELEASE_COLUMNS, seen["report"]))
+
+        epics = run_changes(report, changes, build)
+        return EpicsRun(epics, write_report(release_range(marked), releases_path), _diagnostics(seen))
+
+
+def _diagnostics(seen: dict[str, Observation]) -> dict[str, dict[str, int]]:
+    """The counts of each observation, once its action has run; warns of sprint names without a version."""
+    for name in ("dated sprints", "current sprints"):
+        warn_if_unparsed(seen[name])
+    return {name: dict(observed.get) for name, observed in seen.items()}

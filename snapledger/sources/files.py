@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from datetime import datetime, timezone
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -72,6 +73,13 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
+def modified_at(spark: SparkSession, path: str) -> datetime:
+    """When a file or folder was last changed, in UTC."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return datetime.fromtimestamp(fs.getFileStatus(hadoop).getModificationTime() / 1000, timezone.utc)
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Entries of a folder on any Hadoop file system, sorted by name."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,26 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from snapledger.functions.casting import void_to_string
+from snapledger.sources.reports import ReportFolder
 
 
 def write_report(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace a report table with ``df`` and return it read back.
+    """Make ``df`` the next version of the report at ``path`` and return it read back.
 
-    ``path`` must not be an input of ``df``. Rebalancing keeps file sizes even:
-    partitions too small are packed, too large ones split.
+    The versions before it stay until ``ReportFolder.clean``; see there.
     """
-    df = void_to_string(df)
-    columns = df.columns
-    if partition_by:
-        writer = df.hint("rebalance", f"`{partition_by}`").write.partitionBy(partition_by)
-    else:
-        writer = df.hint("rebalance").write
-    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    if partition_by:
-        kind = df.schema[partition_by].dataType
-        back = back.withColumn(partition_by, back[f"`{partition_by}`"].cast(kind))
-    return back.select(*[f"`{c}`" for c in columns])
+    return ReportFolder(df.sparkSession, path).replace(df, partition_by)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,7 +1,9 @@
 import datetime as dt
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import inputs as I
 from snapledger.operators.merge import ShrinkError
@@ -10,6 +12,8 @@ from snapledger.plans.publish import open_workspace
 from snapledger.sources import files, sinks
 from snapledger.sources.history import HistoryStore
 from snapledger.sources.jdbc import JdbcSource, Split
+from snapledger.sources.manifest import ConflictError, ManifestFolder
+from snapledger.sources.reports import ReportFolder
 from snapledger.sources.workspace import Workspace
 
 OLD, MID, NEW = dt.date(1998, 1, 5), dt.date(1998, 2, 2), dt.date(1998, 2, 9)
@@ -111,10 +115,125 @@ def test_no_seed_over_data_without_a_manifest(spark, store):
     assert store.update(lambda: snaps(spark, [("b", OLD, 1, 1)]), None, force=True).count() == 1
 
 
+def test_a_merge_reads_touched_dates_only_and_counts_nothing_else(spark, store, monkeypatch, settings):
+    # Sizes as of large tables: the planner would broadcast the few rows here.
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    days = [dt.date(1998, 1, 5) + dt.timedelta(weeks=i) for i in range(6)]
+    store.seed(snaps(spark, [(f"k{i}", d, i, 1) for i in range(20) for d in days]))
+    assert {r.SNAPSHOT_DATE: (r.ROW_COUNT, r.LEAST_KEY, r.GREATEST_KEY) for r in store.stats().collect()} == {
+        d: (20, "k0", "k9") for d in days
+    }
+    read = []
+    real = HistoryStore._merged
+
+    @contextmanager
+    def spy(self, *args):
+        with real(self, *args) as merged:
+            read.append((sorted(f.split("SNAPSHOT_DATE=")[1][:10] for f in merged.inputFiles()), plan_of(merged)))
+            yield merged
+
+    monkeypatch.setattr(HistoryStore, "_merged", spy)
+    monkeypatch.setattr(HistoryStore, "_read", lambda self, m, own=HistoryStore._read: own(self, m) if not m["dates"] else pytest.fail("history read"))
+    monkeypatch.setattr(HistoryStore, "read", lambda self, *a: None)
+    store.merge(snaps(spark, [("k1", days[-1], 9, 2), ("new", days[-1], 9, 2)]))
+    (files_read, text), = read
+    assert set(files_read) == {str(days[-1])}
+    # Bucketed on both sides: the join moves no row.
+    assert "LeftAnti" in text and "Exchange" not in text
+    assert store.dates()[str(days[-1])]["rows"] == 21
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reads_by_date_and_key_leave_folders_out(spark, store):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("m", OLD, 1, 1), ("p", MID, 1, 1), ("z", MID, 1, 1)]))
+    assert store.days() == [OLD, MID]
+    assert {f.split("SNAPSHOT_DATE=")[1][:10] for f in store.read([MID]).inputFiles()} == {"1998-02-02"}
+    assert store.read([MID]).count() == 2 and store.read([NEW]).count() == 0
+    assert {f.split("SNAPSHOT_DATE=")[1][:10] for f in store.read(key="b").inputFiles()} == {"1998-01-05"}
+    assert store.read(key="m").count() == 1 and store.read(key="zz").count() == 0
+
+
+def between(monkeypatch, store, act):
+    """Run ``act`` once, after the next write of the store and before its commit."""
+    real = HistoryStore._write
+
+    def write(self, *args):
+        done = real(self, *args)
+        monkeypatch.setattr(HistoryStore, "_write", real)
+        act()
+        return done
+
+    monkeypatch.setattr(HistoryStore, "_write", write)
+
+
+def test_two_writers_of_different_dates_both_win(spark, store, monkeypatch):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+    other = lambda: store.merge(snaps(spark, [("a", MID, 5, 2), ("b", MID, 5, 2)]))
+    between(monkeypatch, store, other)
+    got = store.merge(snaps(spark, [("c", NEW, 7, 1, "x")], SCHEMA + ", EXTRA string"))
+    want = Counter([("a", OLD, 1, None), ("a", MID, 5, None), ("b", MID, 5, None), ("c", NEW, 7, "x")])
+    assert rows(got.select("K", "SNAPSHOT_DATE", "V", "EXTRA")) == want
+    assert len(store.manifests.numbers()) == 3
+
+
+def test_two_writers_of_one_date_conflict(spark, store, monkeypatch):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+    other = lambda: store.merge(snaps(spark, [("b", MID, 5, 2)]))
+    between(monkeypatch, store, other)
+    with pytest.raises(ConflictError, match="1998-02-02"):
+        store.merge(snaps(spark, [("c", MID, 7, 1)]))
+    assert rows(store.read().select("K", "SNAPSHOT_DATE")) == Counter([("a", OLD), ("a", MID), ("b", MID)])
+    # The loser's batch is gone.
+    assert len(files.list_folder(spark, store.manifests.data)) == 2
+    between(monkeypatch, store, lambda: store.merge(snaps(spark, [("d", NEW, 1, 1)])))
+    with pytest.raises(ConflictError):
+        store.seed(snaps(spark, [("a", OLD, 1, 1)]), force=True)
+
+
+def test_two_first_seeds_conflict(spark, store, monkeypatch):
+    between(monkeypatch, store, lambda: store.seed(snaps(spark, [("b", OLD, 1, 1)]), force=True))
+    with pytest.raises(ConflictError):
+        store.seed(snaps(spark, [("a", OLD, 1, 1)]))
+    assert rows(store.read().select("K")) == Counter([("b",)])
+
+
+def test_orphans_of_dead_jobs_are_removed_by_age(spark, store, monkeypatch):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(HistoryStore, "_commit", die)
+        with pytest.raises(KeyboardInterrupt):
+            store.merge(snaps(spark, [("a", MID, 2, 2)]))
+    store.merge(snaps(spark, [("a", MID, 3, 3)]))
+    batches = lambda: len(files.list_folder(spark, store.manifests.data))
+    assert batches() == 3
+    store.clean(keep=1)
+    store.clean(keep=1, unnamed_before=dt.datetime(2000, 1, 1))
+    assert batches() == 3
+    store.clean(keep=1, unnamed_before=dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1))
+    assert batches() == 2
+    assert rows(store.read().select("SNAPSHOT_DATE", "V")) == Counter([(OLD, 1), (MID, 3)])
+
+
+def test_another_number_of_buckets_rewrites_the_store(spark, store):
+    store.seed(snaps(spark, [("a", OLD, 1, 1), ("a", MID, 1, 1)]))
+    other = HistoryStore(spark, store.path, "K", newest=("UPDATED",), buckets=3)
+    got = other.merge(snaps(spark, [("b", MID, 2, 2)]))
+    assert rows(got.select("K", "SNAPSHOT_DATE")) == Counter([("a", OLD), ("a", MID), ("b", MID)])
+    assert other.manifests.last()[1]["buckets"] == 3
+    assert other.merge(snaps(spark, [("c", MID, 2, 2)])).count() == 4
+
+
 def test_guard_stops_before_anything_changes(spark, store):
     """Cached repeats collapse in the merge, here written past the seed."""
     many = snaps(spark, [(f"k{i % 50}", OLD, i, i) for i in range(100)])
-    store._commit(*store._write(many))
+    store._commit(-1, *store._write(many), None, 0.0)
     recent = snaps(spark, [(f"k{i}", OLD, 0, 0) for i in range(50)])
     with pytest.raises(ShrinkError):
         store.merge(recent)
@@ -160,7 +279,9 @@ def test_epics_report_run(spark, sf, tmp_path):
         I.issue_current(spark, sf), I.issue_history(spark, sf),
         epics.EpicsReport.store_at(spark, str(tmp_path / "h")), I.AS_OF,
     )
-    table, releases = report.run(str(tmp_path / "e"), str(tmp_path / "r"))
+    table, releases, seen = report.run(str(tmp_path / "e"), str(tmp_path / "r"))
+    assert seen["report"]["rows"] == table.count() and seen["report"]["Snapshot Date"] > 0
+    assert 0 < seen["dated sprints"]["nulls"] < seen["dated sprints"]["rows"]
     assert table.where("`Snapshot Date` is null").isEmpty()
     assert {"MIN_TARGET_RELEASE", "MAX_TARGET_RELEASE"} <= set(releases.columns)
     assert releases.where("SNAPSHOT_DATE is not null or FEATURE_KEY is null").isEmpty()
@@ -168,6 +289,87 @@ def test_epics_report_run(spark, sf, tmp_path):
         report.build(strict=True)
 
 
+# --- report versions and incremental runs ----------------------------------------
+def test_a_report_that_dies_while_written_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    frame = lambda v: spark.sql(f"select {v} as v, date'1998-02-02' as d union all select {v}, null")
+    sinks.write_report(frame(1), path, "d")
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(ManifestFolder, "add", die)
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_report(frame(2), path, "d")
+    with pytest.raises(Exception, match="dies"):
+        sinks.write_report(frame(3).withColumn("x", F.raise_error(F.lit("dies")).cast("string")), path, "d")
+    report = ReportFolder(spark, path)
+    want = Counter([(1, dt.date(1998, 2, 2)), (1, None)])
+    assert rows(report.read()) == want
+    sinks.write_report(frame(4), path)
+    assert rows(report.read(0)) == want and {r.v for r in report.read().collect()} == {4}
+    report.clean(keep=1, unnamed_before=dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1))
+    assert report.versions() == [1] and len(files.list_folder(spark, report.manifests.data)) == 1
+    assert report.read().count() == 2
+
+
+def test_a_report_does_not_read_itself(spark, tmp_path):
+    path = str(tmp_path / "r")
+    back = sinks.write_report(spark.range(3).toDF("v"), path)
+    with pytest.raises(ValueError, match="inputs"):
+        sinks.write_report(back.where("v > 0"), path)
+    assert back.count() == 3
+    with pytest.raises(FileNotFoundError):
+        ReportFolder(spark, str(tmp_path / "none")).read()
+    with pytest.raises(ConflictError):
+        ReportFolder(spark, path).replace(spark.range(1), base=-1)
+
+
+def part_files(report):
+    return {d: sorted(f) for d, f in {d: files.list_folder(report.spark, f"{report.manifests.data}/{f}") for d, f in report.last()[1]["parts"].items()}.items()}
+
+
+@pytest.mark.parametrize("kind", ["stories", "epics"])
+def test_incremental_run_rewrites_changed_dates_only(spark, sf, tmp_path, kind):
+    source, snapshots = I.story_source(spark, sf), I.story_snapshots(spark, sf)
+    issues, dated = I.issue_current(spark, sf), I.issue_history(spark, sf)
+    plan = {"stories": stories.StoriesReport, "epics": epics.EpicsReport}[kind]
+    store = plan.store_at(spark, str(tmp_path / "h"))
+    paths = [str(tmp_path / "t"), str(tmp_path / "r")][: 1 if kind == "stories" else 2]
+
+    def run(story_rows, issue_rows, how="run_incremental", at=store, where=paths):
+        done = getattr(plan(source, story_rows, issues, issue_rows, at, I.AS_OF), how)(*where)
+        return done if kind == "stories" else done.epics
+
+    if kind == "stories":
+        run(I.stale(snapshots, "STATUS", "'Open'"), dated)
+    else:
+        run(snapshots, I.stale(dated, "OPEN_ESTIMATE", "OPEN_ESTIMATE + 1.0D"))
+    report = ReportFolder(spark, paths[0])
+    first = part_files(report)
+    got = run(snapshots, dated)
+    second = part_files(report)
+    untouched = ["1998-01-05", "1998-01-12", "1998-01-19", "1998-01-26"]
+    assert all(first[d] == second[d] for d in untouched)
+    assert all(first.get(d) != second[d] for d in ("1998-02-02", "1998-02-16", "1998-03-02", "1998-03-04"))
+    # A later change of another input reaches its date alone.
+    if kind == "stories":
+        later = dated.withColumn("SWAG", F.expr("if(SNAPSHOT_DATE = date'1998-01-12', SWAG + 1, SWAG)"))
+        again = run(snapshots, later)
+    else:
+        later = snapshots.withColumn("STORY_POINTS", F.expr("if(SNAPSHOT_DATE = date'1998-01-12', STORY_POINTS + 1, STORY_POINTS)"))
+        again = run(later, dated)
+    third = part_files(report)
+    assert third["1998-01-12"] != second["1998-01-12"]
+    assert all(second[d] == third[d] for d in untouched if d != "1998-01-12")
+    other = plan.store_at(spark, str(tmp_path / "h2"))
+    where = [p + "2" for p in paths]
+    full = run(snapshots, later, "run", other, where) if kind == "stories" else run(later, dated, "run", other, where)
+    assert again.exceptAll(full).isEmpty() and full.exceptAll(again).isEmpty()
+    assert got.columns == full.columns
+
+
 # --- files and sinks -----------------------------------------------------------
 def test_folder_loading_order_and_names(spark, tmp_path):
     for name, value in (("a.parquet", 1), ("b.pq", 2), ("b.csv", 3)):
