@@ -263,7 +263,7 @@ def fallback_lookup(spark, sf):
     )
     return joins.fallback_lookup(
         dated.unionByName(plain), found.range_history, found.range_current,
-        fixed.SPRINT_GROUP, [fixed.GROUP], epics.RANGE,
+        fixed.SPRINT_GROUP, [fixed.GROUP], epics.RANGE, spread_by="ISSUE_KEY",
     )
 
 
@@ -272,7 +272,7 @@ def null_safe_lookup(spark, sf):
     columns = ["ISSUE_KEY", "FEATURE_ID", fixed.SNAPSHOT, "TARGET_START"]
     plain = I.story_source(spark, sf).withColumn(fixed.SNAPSHOT, F.lit(None).cast("date"))
     rows = plain.select(*columns).unionByName(I.story_snapshots(spark, sf).select(*columns))
-    return stories.join_features(rows, feature_lookup(spark, sf))
+    return stories.join_features(rows, feature_lookup(spark, sf), keys_from=rows, row="ISSUE_KEY")
 
 
 @query

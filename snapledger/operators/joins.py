@@ -3,14 +3,14 @@
 Null keys: in a plain left join they match nothing, yet they all hash to one
 partition. ``spread_by`` sends them to many. A hot key that is not null is left
 to adaptive execution, which splits an oversized left-side partition of an outer
-or anti join into several tasks.
+or anti join into several tasks, or to :mod:`snapledger.operators.skew`.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def _pairs(on) -> list[tuple[str, str]]:
@@ -31,8 +31,8 @@ def left_lookup(
     name the left already has (Spark compares names without case) get ``suffix``;
     if a column of that name exists as well, it is an error.
     With ``null_safe`` a null key equals a null key; otherwise ``spread_by`` may
-    name a left column that tells rows apart, for large tables whose first key is
-    text and often null.
+    name a left column that tells rows apart, for large tables with text keys that
+    are often null.
     """
     pairs = _pairs(on)
     key_name = {r: f"__key_{i}" for i, (_, r) in enumerate(pairs)}
@@ -52,11 +52,12 @@ def left_lookup(
         ]
     )
     tests = []
-    for i, (l, r) in enumerate(pairs):
+    text = {f.name for f in left.schema if isinstance(f.dataType, T.StringType)}
+    for l, r in pairs:
         lk, rk = F.col(f"`{l}`"), F.col(key_name[r])
         if null_safe:
             tests.append(lk.eqNullSafe(rk))
-        elif i == 0 and spread_by:
+        elif spread_by and l in text:
             tests += [_spread_nulls(lk, F.col(f"`{spread_by}`")) == rk, lk.isNotNull()]
         else:
             tests.append(lk == rk)
@@ -81,14 +82,16 @@ def fallback_lookup(
     second_on,
     values: list[str],
     suffix: str = "_sum",
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Look ``values`` up in ``first``; where that gives null, in ``second``.
 
     Both lookups are plain left joins: a null key never matches, and a lookup
-    with several rows per key yields several rows.
+    with several rows per key yields several rows. ``spread_by`` as in
+    :func:`left_lookup`.
     """
-    joined = left_lookup(df, first, first_on, suffix)
-    joined = left_lookup(joined, second, second_on, suffix)
+    joined = left_lookup(df, first, first_on, suffix, spread_by=spread_by)
+    joined = left_lookup(joined, second, second_on, suffix, spread_by=spread_by)
     return joined.withColumns(
         {v: F.coalesce(F.col(f"`{v}`"), F.col(f"`{v}{suffix}`")) for v in values}
     ).drop(*[v + suffix for v in values])

@@ -130,11 +130,11 @@ def epic_columns(df: DataFrame, lookups: SprintLookups, as_of: datetime) -> Data
     )
     df = fallback_lookup(
         df, lookups.range_history, lookups.range_current,
-        fixed.SPRINT_GROUP, [fixed.GROUP], RANGE,
+        fixed.SPRINT_GROUP, [fixed.GROUP], RANGE, spread_by=fixed.EPIC_KEY,
     )
     df = fallback_lookup(
         df, lookups.current_history, lookups.current_current,
-        fixed.SPRINT_GROUP, [fixed.GROUP], CURRENT,
+        fixed.SPRINT_GROUP, [fixed.GROUP], CURRENT, spread_by=fixed.EPIC_KEY,
     )
     return rename_all(df, title_name)
 

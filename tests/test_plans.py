@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as I
 from catalog.queries import QUERIES, _lookups
-from snapledger.operators import align, gapfill, hierarchy, joins, merge, releases
+from snapledger.operators import align, gapfill, hierarchy, joins, merge, releases, skew
 from snapledger.plans import epics, stories
 from snapledger.session import stage
 
@@ -154,6 +154,78 @@ def test_null_parents_are_spread(spark, settings):
     assert len(counts) == 8 and max(counts) < 2 * min(counts)
 
 
+def crowded(spark):
+    """A third of the rows without a key, a third with one key, the rest spread."""
+    left = spark.range(0, 30000, 1, 8).selectExpr(
+        "id", "case id % 3 when 0 then null when 1 then 'hot' else 'k' || (id % 2000) end as k",
+        "if(id % 3 = 0, cast(null as date), date'1998-02-02') as d",
+    )
+    right = spark.range(2000).selectExpr("'k' || id as k", "date'1998-02-02' as d", "id as v").unionByName(
+        spark.sql("select 'hot' as k, date'1998-02-02' as d, -1L as v union all select null, null, -2L union all select 'hot', null, -3L")
+    )
+    return left, right
+
+
+def test_hot_keys_are_found(spark):
+    left, _ = crowded(spark)
+    hashes = left.select(skew._key_hash([F.col("k"), F.col("d")]).alias("h"), "k").distinct().collect()
+    want = {r.h for r in hashes if r.k in (None, "hot")}
+    assert set(skew.hot_keys(left, ["k", "d"]).first().hot) == want
+    assert skew.hot_keys(left.where("false"), ["k"]).first().hot == []
+    assert skew.hot_keys(left.selectExpr("cast(id as string) as k"), ["k"]).first().hot == []
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_split_lookup_deals_hot_and_null_keys(spark, settings, null_safe):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    left, right = crowded(spark)
+    plain = joins.left_lookup(left, right, ["k", "d"], null_safe=null_safe)
+    split = skew.split_lookup(left, right, ["k", "d"], ["id"], null_safe=null_safe, parts=64)
+    assert split.columns == plain.columns
+    assert Counter(split.collect()) == Counter(plain.collect())
+
+    def largest(df):
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+    assert largest(plain) > 9000 and largest(split) < 4000
+    # The keys may come from a cheaper table, and need not be found at all.
+    for keys_from in (left.where("id % 2 = 0"), left.where("false")):
+        other = skew.split_lookup(left, right, ["k", "d"], ["id"], null_safe=null_safe, keys_from=keys_from)
+        assert Counter(other.collect()) == Counter(plain.collect())
+    with pytest.raises(TypeError):
+        skew.split_lookup(left, right.withColumn("d", F.lit("x")), ["k", "d"], ["id"])
+
+
+def test_null_groups_of_a_fallback_are_spread(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    left, right = crowded(spark)
+    rows = left.withColumn("row", F.col("id").cast("string"))
+    by_day, by_key = right.where("d is not null"), right.groupBy("k").agg(F.max("v").alias("v"))
+    shape = (["d", "k"], ["k"], ["v"])
+    plain = joins.fallback_lookup(rows, by_day, by_key, *shape)
+    spread = joins.fallback_lookup(rows, by_day, by_key, *shape, spread_by="row")
+    assert Counter(plain.collect()) == Counter(spread.collect())
+    nulls = spread.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(nulls) == 8 and max(r["count"] for r in nulls) < 2000
+
+
+def test_features_are_joined_in_parts(spark, sf):
+    """The report over a store looks for hot keys in the stored columns only."""
+    source, snapshots = I.story_source(spark, sf), I.story_snapshots(spark, sf)
+    history = stage(stories.story_history_unique(snapshots, source), "history")
+    table = stories.stories_table(
+        stories.story_current(source), history, QUERIES["feature_lookup"](spark, sf), I.AS_OF,
+        known=[], keys_from=history,
+    )
+    text = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_top_k" in text
+    scans = [line for line in plan(table).splitlines() if "ReadSchema: struct<SNAPSHOT_DATE:date,FEATURE_ID:string>" in line]
+    assert scans
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     """One key holds a third of the rows; the result is one row for it."""
     df = spark.range(0, 30000, 1, 8).selectExpr(
