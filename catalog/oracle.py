@@ -188,8 +188,7 @@ def _missing(history: str) -> str:
 _MERGED = f"""
     with kept as (
         select c.* from fx_cached_history c
-        where not exists (select 1 from fx_recent_history r
-                          where r.ISSUE_KEY = c.ISSUE_KEY and r.SNAPSHOT_DATE = c.SNAPSHOT_DATE)),
+        anti join fx_recent_history r on r.ISSUE_KEY = c.ISSUE_KEY and r.SNAPSHOT_DATE = c.SNAPSHOT_DATE),
     merged as (
         select SNAPSHOT_DATE, ISSUE_KEY, PARENT_KEY, ESTIMATE, OPEN_ESTIMATE,
                cast(null as string) as SUMMARY, 0 as SRC from kept
@@ -321,6 +320,11 @@ def _profile(view: str, columns: list[tuple[str, str]]) -> str:
     return " union all ".join(line(i, n, k) for i, (n, k) in enumerate(columns))
 
 
+_STORED_KINDS = [
+    ("ISSUE_KEY", "string"), ("PARENT_KEY", "string"), ("ESTIMATE", "double"), ("OPEN_ESTIMATE", "double"),
+    ("SUMMARY", "string"), ("SNAPSHOT_DATE", "date"),
+]
+
 _STORY_KINDS = [
     (c, "string") for c in """ISSUE_KEY FEATURE_ID PROJECT_KEY PROJECT_NAME TEAM_NAME STORY_NAME
     ISSUE_TYPE FIX_VERSION PROGRAM_INCREMENT SPRINT_NAME CUSTOMER_EPIC_ID CUSTOMER_EPIC
@@ -508,6 +512,18 @@ _BODIES = {
     "table_profile_total": f"""
         select cast(sum(NULLS) as bigint) as NULLS, round(sum(NULLS) * 100.0 / sum(ROW_COUNT), 4) as NULL_PCT
         from ({_profile('fx_story_history', _STORY_KINDS)})""",
+    "profile_by_date": f"""{_MERGED}, stored as (select {_MERGED_COLUMNS}, SUMMARY from one),
+        lines as ({_profile('stored', _STORED_KINDS)})
+        select POSITION, COLUMN_NAME, DATA_TYPE, ROW_COUNT, NULLS, NULL_PCT, UNIQUES, true as CLOSE,
+               MIN_VALUE, MAX_VALUE
+        from lines""",
+    "profile_estimate_facts": f"""
+        select COLUMN_NAME, ROW_COUNT, NULLS, UNIQUES, true as CLOSE, MIN_VALUE, MAX_VALUE
+        from ({_profile('fx_story_history', _STORY_KINDS)})""",
+    "csv_inferred": "select o_orderkey, o_totalprice, o_orderpriority from orders",
+    "sample_facts": """
+        select least(count(*), 50) as ROW_COUNT, least(count(*), 50) as DIFFERENT, least(count(*), 50) as FOUND
+        from events""",
     "adhoc_sql": """
         select f.PROGRAM_PRIORITY, s.ISSUE_TYPE as STORY_TYPE, count(*) as STORY_COUNT,
                sum(s.STORY_POINTS) as POINTS, min(s.BEGIN_DATE) as FIRST_BEGIN

@@ -10,7 +10,7 @@ from snapledger.functions import casting, dates, sprints as sprint_text, text
 from snapledger.operators import (
     align, gapfill, hierarchy, joins, merge, profile, releases, sprints,
 )
-from snapledger.plans import epics, stories
+from snapledger.plans import epics, profiles, stories
 from snapledger.plans.publish import open_workspace
 from snapledger.session import new_path, stage
 from snapledger.sources import files, sinks
@@ -378,6 +378,62 @@ def table_profile_approx(spark, sf):
     return profile.profile(I.story_snapshots(spark, sf), exact=False)
 
 
+@query
+def profile_by_date(spark, sf):
+    """The profile of a stored history from parts kept by date, after a merge that touched
+    two of them, with how the estimated distinct counts compare with exact ones."""
+    store, path = _feature_store(spark), new_path(spark, "profiles")
+    store.seed(I.cached_history(spark, sf))
+    profiles.update_profiles(store, path)
+    store.merge(I.recent_history(spark, sf))
+    near = profiles.stored_profile(store, path)
+    exact = profile.profile(store.read()).select("COLUMN_NAME", F.col("UNIQUES").alias("EXACT"))
+    error = F.abs(F.col("UNIQUES") - F.col("EXACT"))
+    return near.join(exact, "COLUMN_NAME").select(
+        "POSITION", "COLUMN_NAME", "DATA_TYPE", "ROW_COUNT", "NULLS", "NULL_PCT",
+        F.col("EXACT").alias("UNIQUES"), (error <= F.greatest(F.lit(1.0), 0.05 * F.col("EXACT"))).alias("CLOSE"),
+        "MIN_VALUE", "MAX_VALUE",
+    )
+
+
+@query
+def csv_inferred(spark, sf):
+    """A CSV file whose types are inferred on loading."""
+    path = new_path(spark, "inferred") + ".csv"
+    sinks.export(I.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), "csv", path)
+    workspace = Workspace(spark)
+    workspace.load([path], ["typed"])
+    return workspace.table("typed").select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_totalprice", "o_orderpriority"
+    )
+
+
+@query
+def sample_facts(spark, sf):
+    """What holds of any sample without replacement: its size, that no row is drawn
+    twice, and that every row is one of the table."""
+    events = I.table(spark, sf, "events")
+    drawn = Workspace(spark, {"events": events}).sample("events", 50, seed=7)
+    drawn = drawn.join(events.groupBy("event_id").agg(F.max("user_id").alias("found")), "event_id", "left")
+    return drawn.agg(
+        F.count(F.lit(1)).alias("ROW_COUNT"), F.count_distinct("event_id").alias("DIFFERENT"),
+        F.count_if(F.col("found") == F.col("user_id")).alias("FOUND"),
+    )
+
+
+@query
+def profile_estimate_facts(spark, sf):
+    """The estimated profile against the exact one: counts equal, distinct counts within 10 %."""
+    stories_ = I.story_snapshots(spark, sf).drop("N", "K")
+    near = profile.profile(stories_, exact=False)
+    exact = profile.profile(stories_).select("COLUMN_NAME", F.col("UNIQUES").alias("EXACT"))
+    error = F.abs(F.col("UNIQUES") - F.col("EXACT"))
+    return near.join(exact, "COLUMN_NAME").select(
+        "COLUMN_NAME", "ROW_COUNT", "NULLS", F.col("EXACT").alias("UNIQUES"),
+        (error <= F.greatest(F.lit(2.0), 0.1 * F.col("EXACT"))).alias("CLOSE"), "MIN_VALUE", "MAX_VALUE",
+    )
+
+
 @query
 def adhoc_sql(spark, sf):
     workspace = Workspace(

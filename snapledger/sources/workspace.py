@@ -7,8 +7,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from snapledger import fixed
+from snapledger.functions.casting import void_to_string
 from snapledger.operators.profile import profile
 from snapledger.operators.sampling import preview, sample_rows
+from snapledger.session import discard, stage
 from snapledger.sources.files import load_files, load_folder
 from snapledger.sources.sinks import export
 
@@ -17,13 +19,16 @@ class Workspace:
     """Named tables as temporary views; every answer is a DataFrame.
 
     ``last`` is the result of the latest query or sample, which ``save`` and
-    ``export`` use unless given another.
+    ``export`` use unless given another. Saved results are tables of their own in
+    the scratch folder. They belong to the workspace and end with it: on
+    ``close``, at the end of a ``with`` block, or one by one by ``drop``.
     """
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.names: list[str] = []
         self.last: DataFrame | None = None
+        self.saved: dict[str, list[DataFrame]] = {}
         for name, df in (tables or {}).items():
             self.register(name, df)
 
@@ -98,8 +103,35 @@ class Workspace:
         return preview(self._result(df), rows)
 
     def save(self, name: str, df: DataFrame | None = None) -> DataFrame:
-        """Make a result a queryable table of its own."""
-        return self.register(name, self._result(df))
+        """Make a result a queryable table of its own.
+
+        Its rows are computed once and stored, so it stays as it is when its
+        sources change or go. Saving under a name again replaces the table;
+        results derived from the earlier one keep reading its rows until ``close``.
+        """
+        stored = stage(void_to_string(self._result(df)), "saved")
+        self.saved.setdefault(name, []).append(stored)
+        return self.register(name, stored)
+
+    def drop(self, name: str) -> None:
+        """End a table: its view, and its rows if it was saved here."""
+        self.table(name)
+        self.spark.catalog.dropTempView(name)
+        self.names.remove(name)
+        for stored in self.saved.pop(name, []):
+            discard(stored)
+
+    def close(self) -> None:
+        """End the workspace: all its views, and the rows of all saved results."""
+        for name in list(self.names):
+            self.drop(name)
+        self.last = None
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
     def export(self, fmt: str, path: str, df: DataFrame | None = None) -> None:
         export(self._result(df), fmt, path)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as I
 from snapledger.operators.merge import ShrinkError
-from snapledger.plans import epics, stories
+from snapledger.operators import profile
+from snapledger.plans import epics, profiles, stories
 from snapledger.plans.publish import open_workspace
 from snapledger.sources import files, sinks
 from snapledger.sources.history import HistoryStore
@@ -443,6 +444,71 @@ def test_workspace(spark, tmp_path):
         ws.table("missing")
 
 
+def test_saved_results_keep_their_rows(spark, tmp_path):
+    source = str(tmp_path / "t.parquet")
+    spark.range(5).toDF("v").write.parquet(source)
+    with Workspace(spark) as ws:
+        ws.load([source])
+        ws.sql("select sum(v) as s, null as nothing from t")
+        ws.save("total")
+        spark.range(100).toDF("v").write.mode("overwrite").parquet(source)
+        assert ws.sql("select s from total").first().s == 10
+        doubled = ws.sql("select 2 * s as s from total")
+        ws.save("total")
+        assert ws.sql("select s from total").first().s == 20 and doubled.first().s == 20
+        folders = [d._staged_at for ds in ws.saved.values() for d in ds]
+        assert len(folders) == 2 and all(files.path_exists(spark, f) for f in folders)
+        ws.save("other")
+        ws.drop("other")
+        assert ws.names == ["t", "total"]
+        with pytest.raises(KeyError):
+            ws.table("other")
+    assert not any(files.path_exists(spark, f) for f in folders)
+    assert not spark.catalog.tableExists("total") and files.path_exists(spark, source)
+
+
+def test_merged_profiles_keep_types_and_bounds(spark):
+    df = spark.range(0, 4000, 1, 4).selectExpr(
+        "id % 3 as part", "id", "cast(id as int) as i", "id / 7.0D as x", "cast(id as decimal(20,2)) / 4 as dec",
+        "date_add(date'2000-01-01', cast(id as int)) as day", "timestamp_ntz'2000-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) as t",
+        "md5(cast(id % 1000 as string)) as s", "if(id % 2 = 0, null, id % 10) as half", "array(id % 5) as a",
+    )
+    got = {r.COLUMN_NAME: r for r in profile.merge_profiles(profile.profile_parts(df, "part")).collect()}
+    want = {r.COLUMN_NAME: r for r in profile.profile(df).collect()}
+    assert set(got) == set(want)
+    for name, r in want.items():
+        g = got[name]
+        assert (g.POSITION, g.DATA_TYPE, g.ROW_COUNT, g.NULLS) == (r.POSITION, r.DATA_TYPE, r.ROW_COUNT, r.NULLS)
+        assert abs(g.UNIQUES - r.UNIQUES) <= max(1, 0.05 * r.UNIQUES), name
+        if name != "dec":
+            assert (g.MIN_VALUE, g.MAX_VALUE) == (r.MIN_VALUE, r.MAX_VALUE), name
+        else:
+            assert (float(g.MIN_VALUE), float(g.MAX_VALUE)) == (float(r.MIN_VALUE), float(r.MAX_VALUE))
+    assert profile.merge_profiles(profile.profile_parts(df.where("false"), "part")).isEmpty()
+
+
+def test_profiles_by_date_read_changed_dates_only(spark, store, tmp_path, monkeypatch):
+    path = str(tmp_path / "p")
+    days = [OLD, MID, NEW]
+    store.seed(snaps(spark, [(f"k{i}", d, i % 7 if i else None, 1) for i in range(50) for d in days]))
+    profiles.update_profiles(store, path)
+    read = []
+    real = HistoryStore.read
+    monkeypatch.setattr(HistoryStore, "read", lambda self, days=None, key=None: read.append(days) or real(self, days, key))
+    assert profiles.stored_profile(store, path).count() == 4 and read == []
+    store.merge(snaps(spark, [("k1", MID, 99, 2, "x")], SCHEMA + ", EXTRA string"))
+    read.clear()
+    got = {r.COLUMN_NAME: r for r in profiles.stored_profile(store, path).collect()}
+    assert read == [[MID]]
+    want = {r.COLUMN_NAME: r for r in profile.profile(real(store)).collect()}
+    for name, r in want.items():
+        g = got[name]
+        assert (g.DATA_TYPE, g.ROW_COUNT, g.NULLS, g.NULL_PCT) == (r.DATA_TYPE, r.ROW_COUNT, r.NULLS, r.NULL_PCT)
+        assert (g.MIN_VALUE, g.MAX_VALUE) == (r.MIN_VALUE, r.MAX_VALUE) and abs(g.UNIQUES - r.UNIQUES) <= 1
+    one = {r.COLUMN_NAME: r.ROW_COUNT for r in profiles.stored_profile(store, path, [OLD]).collect()}
+    assert set(one.values()) == {50}
+
+
 def test_workspace_without_result(spark):
     ws = Workspace(spark)
     assert ws.tables().isEmpty()
