@@ -42,8 +42,9 @@ def _exact_uniques(df: DataFrame) -> DataFrame:
     partial aggregation serves all of them; several distinct counts in one
     aggregate would copy the whole row once per column.
     """
-    cells = F.explode(F.array(*[_cell(i, f) for i, f in enumerate(df.schema)])).alias("c")
-    return df.select(cells).select("c.*").distinct().groupBy("__i").agg(F.count(F.lit(1)).alias("UNIQUES"))
+    cells = df.select(*[_cell(i, f).alias(str(i)) for i, f in enumerate(df.schema)])
+    rows = cells.unpivot([], cells.columns, "column", "cell").select("cell.*")
+    return rows.distinct().groupBy("__i").agg(F.count(F.lit(1)).alias("UNIQUES"))
 
 
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
