@@ -24,30 +24,27 @@ _CHAIN = 2  # content words in a signature
 def signatures(text: Column, common_words: dict[str, str] = COMMON_WORDS, chain: int = _CHAIN) -> Column:
     """Sorted array of the 64-bit signature hashes of a whole text; a null text counts as empty.
 
-    Every content word is in a chain, but for those that end a text right after the
-    one full chain of its last common word. Texts without a signature, such as the empty text and those without words,
-    have one of their exact characters, so that only equal ones are alike.
+    Every content word is in a chain. Texts without a signature, such as the empty
+    text and those without words, have one of their exact characters, so that only
+    equal ones are alike.
     """
     text = F.coalesce(text, F.lit(""))
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
     common = "|".join(sorted({w for group in common_words.values() for w in group.split()}))
-    # A mark before each common word, and a word that leads what precedes the first; the last spot ends with \u0003.
+    # A mark before each common word, and a word that leads what precedes the first.
     marked = F.regexp_replace(words, rf"(?<![^ ])(?=(?:{common})(?: |$))", "\u0001")
-    marked = F.concat(F.lit("\u0002 "), marked, F.lit(" \u0003"))
+    marked = F.concat(F.lit("\u0002 "), marked)
     spots = F.transform(F.split(marked, "\u0001"), lambda spot: F.split(F.regexp_replace(F.rtrim(spot), " +", " "), " "))
 
     def chains(words: Column) -> Column:
         """The hashes of a spot's chains: none if its common word is followed by another at once."""
-        last = F.get(words, F.size(words) - 1) == "\u0003"
-        n = F.size(words) - 1 - last.cast("int")
-        ends = last & (F.get(words, F.lit(0)) != "\u0002") & (n > chain) & (n < 2 * chain)
-        read = F.when(ends, F.lit(chain)).otherwise(n)
+        n = F.size(words) - 1
 
         def chain_at(at):
             inside = [F.when(at + k <= n, F.get(words, at + k)) for k in range(chain)]
             return F.xxhash64(F.get(words, F.lit(0)), *inside)
 
-        return F.when(read > 0, F.transform(F.sequence(F.lit(1), F.greatest(read, F.lit(1)), F.lit(chain)), chain_at))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(chain)), chain_at))
 
     hashes = F.flatten(F.transform(F.filter(spots, lambda w: F.size(w) > 1), lambda w: F.coalesce(chains(w), F.array().cast("array<bigint>"))))
     exact = F.array(F.xxhash64(F.lit("\u0001"), text))

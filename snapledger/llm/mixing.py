@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from snapledger.llm.rows import row_key
 from snapledger.session import stage
 
 # Fixed value: the characters that separate words, as in the pattern [^\x20\x09-\x0D]+.
@@ -215,7 +216,7 @@ def plan_mix(
         F.sort_array(F.collect_list(F.struct("words", "row_hash")), asc=False).alias("units")
     )
     empty = F.struct(
-        F.col("room").alias("room"), F.array().cast("array<bigint>").alias("taken"), F.lit(None).cast("bigint").alias("next"),
+        F.col("room").alias("room"), F.array().cast("array<string>").alias("taken"), F.lit(None).cast("string").alias("next"),
         F.lit(None).cast("bigint").alias("next_words"),
     )
 
@@ -277,7 +278,7 @@ def plan_mix(
 
 
 def row_hash(id_col: str, source_col: str, text_col: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), F.col(text_col)).alias("row_hash")
+    return row_key(F.col(id_col), F.col(source_col), F.col(text_col), seed=seed).alias("row_hash")
 
 
 def mix_documents(

@@ -11,30 +11,32 @@ length, as those of short texts vary far more than those of long ones.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from snapledger.llm.rows import row_key
 from snapledger.llm.shuffles import shuffle_files_removed
 from snapledger.session import stage
 
 ORDER = 4
 _START = "\x02"  # stands before a text, ORDER - 1 times
-_CHUNK_CHARS = 4_000_000
 _CHUNK_DOCS = 50_000
 _CODEC = pa.Codec("zstd", compression_level=6)
 
 
 # --- chunks ----------------------------------------------------------------
-def _chunked(rows):
+def _chunked(rows, chunk_chars):
     """Cuts rows (..., length) of one task into chunks; yields (chunk, rows)."""
     part, number, held, chars = TaskContext.get().partitionId(), 0, [], 0
     for row in rows:
         held.append(row)
         chars += row[-1]
-        if chars >= _CHUNK_CHARS or len(held) >= _CHUNK_DOCS:
+        if chars >= chunk_chars or len(held) >= _CHUNK_DOCS:
             yield (part << 24) + number, held
             number, held, chars = number + 1, [], 0
     if held:
@@ -46,24 +48,35 @@ def _rows(batches):
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _packed(batches):
+def _pack_chunks(batches, chunk_chars: int):
     """One row per chunk, its texts compressed."""
-    for chunk, rows in _chunked(_rows(batches)):
+    for chunk, rows in _chunked(_rows(batches), chunk_chars):
         ids, langs, hashes, texts, lengths = zip(*rows)
         raw = "".join(texts).encode("utf-8", "surrogatepass")
         row = {
             "chunk": pa.array([chunk], pa.int64()),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())),
             "langs": pa.array([langs], pa.list_(pa.string())),
-            "hashes": pa.array([hashes], pa.list_(pa.int64())),
+            "hashes": pa.array([hashes], pa.list_(pa.string())),
             "lengths": pa.array([lengths], pa.list_(pa.int32())),
             "size": pa.array([len(raw)], pa.int64()),
+            "digest": pa.array([hashlib.blake2b(raw, digest_size=16).hexdigest()], pa.string()),
             "texts": pa.array([_CODEC.compress(raw, asbytes=True)], pa.binary()),
         }
         yield pa.RecordBatch.from_pydict(row)
 
 
-_PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<long>, lengths array<int>, size long, texts binary"
+def _packed(chunk_chars: int):
+    return lambda batches: _pack_chunks(batches, chunk_chars)
+
+
+_PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<string>, lengths array<int>, size long, digest string, texts binary"
+
+
+def _check(chunk: int, digest: str, expected: str | None) -> None:
+    """Texts are packed anew by each pass. Rows that arrive in another order make other chunks."""
+    if digest != expected:
+        raise RuntimeError(f"chunk {chunk} differs from that of an earlier pass: the order of the rows is not fixed; stage them")
 
 
 def _grams(lengths: np.ndarray, size: int, texts: bytes):
@@ -101,7 +114,8 @@ def _grams(lengths: np.ndarray, size: int, texts: bytes):
 def _asked(batches):
     """Of each chunk its distinct n-grams, and how often each stands in trusted texts."""
     for batch in batches:
-        for chunk, lengths, size, texts, trusted in _rows([batch]):
+        for chunk, lengths, size, digest, texts, expected, trusted in _rows([batch]):
+            _check(chunk, digest, expected)
             lengths = np.array(lengths, np.int64)
             grams, number, _ = _grams(lengths, size, texts)
             chosen = np.zeros(len(lengths), bool)
@@ -119,7 +133,7 @@ _SCORED = pa.schema(
         ("pos", pa.int32()),
         ("doc_id", pa.int64()),
         ("lang", pa.string()),
-        ("row_hash", pa.int64()),
+        ("row_hash", pa.string()),
         ("length", pa.int32()),
         ("perplexity", pa.float64()),
     ]
@@ -130,7 +144,8 @@ def _scored(packed: pa.Table, answers: pa.Table) -> pa.Table:
     """The perplexity of every document of a chunk."""
     known = dict(zip(answers.column("gram").to_pylist(), answers.column("logp").to_pylist()))
     out = []
-    for chunk, ids, langs, hashes, lengths, size, texts in _rows(packed.to_batches()):
+    for chunk, ids, langs, hashes, lengths, size, digest, texts, expected in _rows(packed.to_batches()):
+        _check(chunk, digest, expected)
         lengths = np.array(lengths, np.int64)
         grams, number, firsts = _grams(lengths, size, texts)
         logp = np.array([known[g] for g in grams], np.float64)[number]  # every n-gram has been asked for
@@ -147,7 +162,7 @@ def _scored(packed: pa.Table, answers: pa.Table) -> pa.Table:
                     "pos": pa.array(range(len(ids)), pa.int32()),
                     "doc_id": pa.array(ids, pa.int64()),
                     "lang": pa.array(langs, pa.string()),
-                    "row_hash": pa.array(hashes, pa.int64()),
+                    "row_hash": pa.array(hashes, pa.string()),
                     "length": pa.array(lengths, pa.int32()),
                     "perplexity": perplexity,
                 }
@@ -214,7 +229,7 @@ def log_probabilities(asked: DataFrame, trusted: DataFrame) -> DataFrame:
 # --- the operator ----------------------------------------------------------
 def judge_quality(
     docs: DataFrame, labels: DataFrame, quantile: float = 0.999,
-    id_col="doc_id", text_col="text", lang_col="lang", label_col="quality",
+    id_col="doc_id", text_col="text", lang_col="lang", label_col="quality", chunk_chars: int = 4_000_000,
 ) -> DataFrame:
     """doc_id, lang, row_hash, perplexity, threshold, keep: one row per row of ``docs``.
 
@@ -225,7 +240,10 @@ def judge_quality(
     those three hold none; a null language is one of its own. A language without
     trusted text has no threshold and keeps its documents. A null or empty text has
     no perplexity and is not kept. Rows that repeat an id, or have none, are judged
-    each; an empty table gives no rows; other columns are ignored.
+    each; an empty table gives no rows; other columns are ignored. Rows must come
+    in the same order each time ``docs`` is read, as from files; else it is an error.
+    Texts are packed in chunks of ``chunk_chars`` characters, which bounds what a
+    task holds and does not affect results.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -236,15 +254,18 @@ def judge_quality(
     ).withColumn("length", F.length("text"))
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     good = marked.where("label is not null").groupBy("doc_id").agg(F.min("label").alias("label")).where("label = 1")
-    packed = rows.mapInArrow(_packed, _PACKED)
+    packed = rows.mapInArrow(_packed(chunk_chars), _PACKED)
     band = F.length(F.bin(F.col("length").cast("long")))
     with shuffle_files_removed(spark):
-        # Each use of the packed texts runs the same plan, which gives the same chunks.
-        index = packed.select("chunk", F.posexplode("doc_ids").alias("pos", "doc_id"))
+        # Each use of the packed texts runs the same plan; the digests of the first prove that it gave the same chunks.
+        chunks = stage(packed.select("chunk", "digest", "doc_ids"), "chunks")
+        index = chunks.select("chunk", F.posexplode("doc_ids").alias("pos", "doc_id"))
         trusted = stage(index.join(good.select("doc_id"), "doc_id").select("chunk", "pos"), "trusted")
         lists = trusted.groupBy("chunk").agg(F.sort_array(F.collect_list("pos")).alias("trusted"))
+        expected = chunks.select("chunk", F.col("digest").alias("expected"))
         asked = stage(
-            packed.select("chunk", "lengths", "size", "texts")
+            packed.select("chunk", "lengths", "size", "digest", "texts")
+            .join(expected, "chunk", "left")
             .join(lists, "chunk", "left")
             .mapInArrow(_asked, "chunk long, gram string, n long"),
             "chunk-grams",
@@ -252,9 +273,10 @@ def judge_quality(
         answers = log_probabilities(asked, asked.select("gram", "n"))
         answered = asked.select("chunk", "gram").join(answers, "gram")
         scores = stage(
-            packed.groupBy("chunk")
+            packed.join(expected, "chunk", "left")
+            .groupBy("chunk")
             .cogroup(answered.groupBy("chunk"))
-            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash long, length int, perplexity double"),
+            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash string, length int, perplexity double"),
             "perplexities",
         )
         near = F.array(band - 1, band, band + 1, F.lit(None))  # null: all bands of the language
@@ -280,19 +302,19 @@ def judge_quality(
 
 
 def _row_hash(id_col, lang_col, text_col):
-    return F.xxhash64(F.col(id_col), F.col(lang_col), F.col(text_col))
+    return row_key(F.col(id_col), F.col(lang_col), F.col(text_col))
 
 
 def good_documents(
     docs: DataFrame, labels: DataFrame, quantile: float = 0.999,
-    id_col="doc_id", text_col="text", lang_col="lang", label_col="quality",
+    id_col="doc_id", text_col="text", lang_col="lang", label_col="quality", chunk_chars: int = 4_000_000,
 ) -> DataFrame:
     """The rows of ``docs`` that ``judge_quality`` keeps, with all their columns.
 
     A verdict depends on language and text, so rows equal in id, language and
     text share it.
     """
-    judged = judge_quality(docs, labels, quantile, id_col, text_col, lang_col, label_col)
+    judged = judge_quality(docs, labels, quantile, id_col, text_col, lang_col, label_col, chunk_chars)
     kept = stage(judged.where("keep").select(F.col("row_hash").alias("_row_hash")), "kept-rows")
     keyed = docs.withColumn("_row_hash", _row_hash(id_col, lang_col, text_col))
     return keyed.join(kept, "_row_hash", "left_semi").select(*docs.columns)

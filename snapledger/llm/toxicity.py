@@ -10,6 +10,7 @@ then averaged. What is left is a short list of weights, which goes to every task
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapledger.session import stage
 
+log = logging.getLogger(__name__)
+
 BITS = 20  # 2**BITS weights
 # The usual names of the rule's parameters.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.5, 0.1
@@ -79,8 +82,8 @@ def train(
 ) -> np.ndarray:
     """Weights learned from rows of ``docs`` that ``labels`` marks 0 or 1.
 
-    Labelled rows are few enough to be bounded: at most ``most_rows``, the first by a
-    hash of the id. Their list is then small and goes to the documents, so that
+    Labelled rows are few enough to be bounded: of those that ``docs`` holds at most
+    ``most_rows``, the first by a hash of the id. Their list is then small and goes to the documents, so that
     texts that are not learned from do not move. Ids that have both labels, rows
     with a null id or another label are left out; without rows all weights are 0.
     """
@@ -91,6 +94,9 @@ def train(
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where("label = other")
     )
+    # Ids only: labels of documents that are elsewhere must not use up the bound.
+    held = docs.select(F.col(id_col).cast("long").alias("label_id")).where("label_id is not null")
+    marked = marked.join(held, "label_id", "left_semi")
     chosen = stage(
         marked.orderBy(F.xxhash64("label_id", F.lit(seed)), "label_id").limit(most_rows).select("label_id", "label"),
         "toxicity-labels",
@@ -115,12 +121,13 @@ def train(
         return pa.table({"at": pa.array(at, pa.int64()), "z": model.z[at], "n": model.n[at]})
 
     learned = dealt.groupBy("shard").applyInArrow(learn, "at long, z double, n double")
-    # At most 2**BITS coordinates, whatever the data; a shard that never saw one holds zeros.
-    found = learned.groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
+    # At most 2**BITS coordinates, whatever the data. The average is over the shards that
+    # saw a coordinate: a rare word must not lose to shards without it.
+    found = learned.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
     model = Ftrl(np.zeros(1 << BITS), np.zeros(1 << BITS))
     at = found.column("at").to_numpy()
-    model.z[at] = found.column("z").to_numpy() / shards
-    model.n[at] = found.column("n").to_numpy() / shards
+    model.z[at] = found.column("z").to_numpy()
+    model.n[at] = found.column("n").to_numpy()
     return model.weights()
 
 
@@ -161,6 +168,7 @@ def harmless_documents(
     """The rows of ``docs`` that score below ``threshold``, with all their columns; all rows if nothing was learned."""
     weights = train(docs, labels, id_col=id_col, text_col=text_col, **training)
     if not weights.any():
+        log.warning("no label of any document taught anything: all documents pass unscored")
         return docs
     scored = with_score(docs, weights, text_col, "_toxicity")
     return scored.where(F.col("_toxicity") < threshold).select(*docs.columns)

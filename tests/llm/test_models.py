@@ -4,17 +4,48 @@ import collections
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from prose import prose
-from snapledger.llm import quality, toxicity
+from snapledger.llm import mixing, quality, toxicity
 from snapledger.llm.oracle import ORACLE
 from snapledger.llm.queries import QUERIES
 from test_similar import joined
 from test_tokens import check_packing
 
 
+def swapped(spark):
+    """Rows that a hash which passes over nulls takes for one another."""
+    rows = [(4, None, None, "stone river", 1), (4, "stone river", "stone river", None, 1)]
+    rows += [(10 + i, "en", "a", prose(60, i), 1) for i in range(40)]
+    schema = "doc_id long, lang string, source string, text string, quality int"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_null_and_text_do_not_change_places(spark):
+    docs = swapped(spark)
+    judged = quality.judge_quality(docs, docs.select("doc_id", "quality"), 0.999).where("doc_id = 4").collect()
+    assert len({r.row_hash for r in judged}) == 2 and {r.keep for r in judged} == {True, False}
+    kept = quality.good_documents(docs, docs.select("doc_id", "quality"), 0.999).where("doc_id = 4").collect()
+    assert [r.text for r in kept] == ["stone river"]
+    plan = mixing.plan_mix(docs, weights=[1.0], share=1.0, most_passes=2.0).where("doc_id = 4").collect()
+    assert len({r.row_hash for r in plan}) == 2
+
+
+def test_rows_that_change_their_order_are_an_error(spark):
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    rows = swapped(spark).coalesce(1)
+    docs = rows.mapInArrow(shuffled, rows.schema)
+    with pytest.raises(Exception, match="order of the rows"):
+        quality.judge_quality(docs, docs.select("doc_id", "quality"), 0.999, chunk_chars=500).collect()
+
+
 # --- toxicity ----------------------------------------------------------------
 @pytest.fixture(scope="module")
 def insults(spark):
@@ -37,6 +68,65 @@ def test_held_out_rows(spark, insults):
     assert np.allclose(weights, again)
 
 
+def test_labels_of_other_documents_do_not_use_up_the_bound(spark, insults):
+    docs, labels = insults.select("doc_id", "text"), insults.select("doc_id", "toxic")
+    strangers = spark.range(10_000, 60_000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    want = toxicity.train(docs, labels, most_rows=500)
+    assert want.any()
+    assert np.array_equal(toxicity.train(docs, labels.unionByName(strangers), most_rows=500), want)
+
+
+def test_a_rare_word_outlives_the_average(spark):
+    """Ten of 4,000 labelled rows hold the word, in some of eight shards only."""
+    rows = [(i, prose(30, i) + (" scoundrel" if i % 400 == 7 else ""), int(i % 400 == 7)) for i in range(4000)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    weights = toxicity.train(data, data, shard_rows=500, epochs=3)
+    plain = spark.createDataFrame([(1, prose(30, 9999)), (2, prose(30, 9999) + " scoundrel")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(plain, weights).collect()}
+    assert got[2] > got[1]
+
+
+def train_plainly(rows, shards, epochs, seed):
+    """The rule with dictionaries, one coordinate at a time."""
+    seen = collections.defaultdict(list)
+    for shard in shards:
+        z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+        def weight(i):
+            over = abs(z[i]) - toxicity.L1
+            return -math.copysign(over, z[i]) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2) if over > 0 else 0.0
+
+        own = sorted((r for r in rows if r[0] in shard), key=lambda r: (r[0], r[1]))
+        order = np.random.default_rng(seed)
+        for _ in range(epochs):
+            for k in order.permutation(len(own)).tolist():
+                at = toxicity.features(own[k][1]).tolist()
+                g = 1 / (1 + math.exp(-max(-35, min(35, sum(map(weight, at)))))) - own[k][2]
+                for i, w in [(i, weight(i)) for i in at]:
+                    sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+                    z[i] += g - sigma * w
+                    n[i] += g * g
+        for i in n:
+            if n[i]:
+                seen[i].append((z[i], n[i]))
+    out = np.zeros(1 << toxicity.BITS)
+    for i, states in seen.items():
+        z, n = (sum(s[k] for s in states) / len(states) for k in (0, 1))
+        over = abs(z) - toxicity.L1
+        if over > 0:
+            out[i] = -math.copysign(over, z) / ((toxicity.BETA + n**0.5) / toxicity.ALPHA + toxicity.L2)
+    return out
+
+
+def test_training_equals_the_plain_rule(spark):
+    rows = [(i, prose(12, i) + (" nitwit" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(120)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    shard = "pmod(xxhash64(doc_id, 'shard'), 3)"
+    shards = [set(r.ids) for r in data.groupBy(F.expr(shard)).agg(F.collect_list("doc_id").alias("ids")).collect()]
+    got = toxicity.train(data, data, shard_rows=40, epochs=2)
+    assert np.allclose(got, train_plainly(rows, shards, 2, 0)) and got.any()
+
+
 def test_one_step_of_the_rule():
     model = toxicity.Ftrl(np.zeros(4), np.zeros(4))
     model.learn(np.array([1, 2]), 1.0, 1.0)
@@ -110,15 +200,14 @@ def plain_perplexities(trusted, texts, order=4):
 
 
 @pytest.mark.parametrize("chunk", [6_000_000, 2_000])
-def test_perplexity(spark, monkeypatch, chunk):
-    monkeypatch.setattr(quality, "_CHUNK_CHARS", chunk)
+def test_perplexity(spark, chunk):
     rows = [(i, prose(20 + i % 50, i), "en" if i % 3 else "de", "x") for i in range(120)]
     rows += [(200 + i, "".join(chr(97 + (i * j * 7) % 26) for j in range(60)), "en", "x") for i in range(9)]
     rows += [(300, "", "en", "x"), (301, None, "en", "x"), (302, prose(30, 9), None, None), (302, prose(30, 9), None, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, chunk string").repartition(3)
     labels = [(i, 1) for i in range(100)] + [(100, 1), (100, 0), (101, None), (None, 1), (200, 0), (999, 1)]
     labels = spark.createDataFrame(labels, "doc_id long, quality int")
-    got = {(r.doc_id, r.row_hash): r for r in quality.judge_quality(docs, labels, 0.99).collect()}
+    got = {(r.doc_id, r.row_hash): r for r in quality.judge_quality(docs, labels, 0.99, chunk_chars=chunk).collect()}
     texts = [t or "" for _, t, _, _ in rows]
     want = dict(zip([r[0] for r in rows], plain_perplexities(texts[:100], texts)))
     assert len(got) == len(rows) - 1  # two rows are equal in id, language and text
