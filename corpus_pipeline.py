@@ -24,7 +24,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under a model of trusted text is usual for their language."""
-    return quality.good_documents(docs, _table(spark, sf_dir, "labels"), quantile=0.999)
+    # Smaller chunks than by default: the workers of earlier stages keep some of their memory.
+    return quality.good_documents(docs, _table(spark, sf_dir, "labels"), quantile=0.999, chunk_chars=2_000_000)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
