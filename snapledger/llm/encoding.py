@@ -18,6 +18,8 @@ from itertools import chain
 
 import numpy as np
 
+from snapledger.llm.memory import give_back
+
 # Where a text may be cut.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _SPACE_IN_SPACE = re.compile(r"\s[ \n]")
@@ -54,6 +56,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget_encoders() -> None:
+    """Drop the worker's tokenizers and their tables, at the end of a task that others do not follow."""
+    _ENCODERS.clear()
+    give_back()
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

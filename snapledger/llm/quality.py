@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from snapledger.llm.memory import give_back
 from snapledger.llm.rows import row_key
 from snapledger.llm.shuffles import shuffle_files_removed
 from snapledger.session import stage
@@ -125,6 +126,8 @@ def _asked(batches):
                 [pa.array([chunk] * len(grams), pa.int64()), pa.array(grams, pa.string()), pa.array(count, pa.int64())],
                 ["chunk", "gram", "n"],
             )
+            del grams, number, count
+    give_back()
 
 
 _SCORED = pa.schema(
@@ -259,10 +262,11 @@ def judge_quality(
     with shuffle_files_removed(spark):
         # Each use of the packed texts runs the same plan; the digests of the first prove that it gave the same chunks.
         chunks = stage(packed.select("chunk", "digest", "doc_ids"), "chunks")
+        # A table of its own, one short row a chunk: the planner then knows how small it is.
+        expected = stage(chunks.select("chunk", F.col("digest").alias("expected")), "chunk-digests")
         index = chunks.select("chunk", F.posexplode("doc_ids").alias("pos", "doc_id"))
         trusted = stage(index.join(good.select("doc_id"), "doc_id").select("chunk", "pos"), "trusted")
         lists = trusted.groupBy("chunk").agg(F.sort_array(F.collect_list("pos")).alias("trusted"))
-        expected = chunks.select("chunk", F.col("digest").alias("expected"))
         asked = stage(
             packed.select("chunk", "lengths", "size", "digest", "texts")
             .join(expected, "chunk", "left")

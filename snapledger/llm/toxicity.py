@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from snapledger.llm.memory import give_back
 from snapledger.session import stage
 
 log = logging.getLogger(__name__)
@@ -56,6 +57,12 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(((found * mix) >> np.uint64(64 - BITS)).astype(np.int64))
 
 
+def forget_words() -> None:
+    """Drop the worker's table of known words, at the end of a task."""
+    _CODES.clear()
+    give_back()
+
+
 class Ftrl:
     """The state of the rule: a sum of gradients and a sum of their squares per coordinate."""
 
@@ -152,6 +159,7 @@ def with_score(docs: DataFrame, weights: np.ndarray, text_col="text", name="scor
             sums = [dense[features(t)].sum() for t in batch.column(at_text).to_pylist()]
             scores = 1 / (1 + np.exp(-np.clip(np.array(sums, np.float64), -35, 35)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, name])
+        forget_words()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
