@@ -47,7 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 ids with their sequence and place."""
     ship_package(spark)
-    return packing.pack(packing.pieces(docs, vocabulary_path(TOKENIZER), capacity=1024, end_id=2), capacity=1024)
+    found = packing.pieces(docs, vocabulary_path(TOKENIZER), capacity=1024, end_id=2, keep_tables=False)
+    return packing.pack(found, capacity=1024)
 
 
 STAGES = [
