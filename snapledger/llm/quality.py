@@ -27,7 +27,7 @@ from snapledger.session import stage
 ORDER = 4
 _START = "\x02"  # stands before a text, ORDER - 1 times
 _CHUNK_DOCS = 50_000
-_CODEC = pa.Codec("zstd", compression_level=6)
+_CODEC = pa.Codec("zstd", compression_level=9)
 
 
 # --- chunks ----------------------------------------------------------------
@@ -58,7 +58,7 @@ def _pack_chunks(batches, chunk_chars: int):
             "chunk": pa.array([chunk], pa.int64()),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())),
             "langs": pa.array([langs], pa.list_(pa.string())),
-            "hashes": pa.array([hashes], pa.list_(pa.string())),
+            "hashes": pa.array([hashes], pa.list_(pa.binary())),
             "lengths": pa.array([lengths], pa.list_(pa.int32())),
             "size": pa.array([len(raw)], pa.int64()),
             "digest": pa.array([hashlib.blake2b(raw, digest_size=16).hexdigest()], pa.string()),
@@ -71,7 +71,7 @@ def _packed(chunk_chars: int):
     return lambda batches: _pack_chunks(batches, chunk_chars)
 
 
-_PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<string>, lengths array<int>, size long, digest string, texts binary"
+_PACKED = "chunk long, doc_ids array<long>, langs array<string>, hashes array<binary>, lengths array<int>, size long, digest string, texts binary"
 
 
 def _check(chunk: int, digest: str, expected: str | None) -> None:
@@ -136,7 +136,7 @@ _SCORED = pa.schema(
         ("pos", pa.int32()),
         ("doc_id", pa.int64()),
         ("lang", pa.string()),
-        ("row_hash", pa.string()),
+        ("row_hash", pa.binary()),
         ("length", pa.int32()),
         ("perplexity", pa.float64()),
     ]
@@ -165,7 +165,7 @@ def _scored(packed: pa.Table, answers: pa.Table) -> pa.Table:
                     "pos": pa.array(range(len(ids)), pa.int32()),
                     "doc_id": pa.array(ids, pa.int64()),
                     "lang": pa.array(langs, pa.string()),
-                    "row_hash": pa.array(hashes, pa.string()),
+                    "row_hash": pa.array(hashes, pa.binary()),
                     "length": pa.array(lengths, pa.int32()),
                     "perplexity": perplexity,
                 }
@@ -252,7 +252,7 @@ def judge_quality(
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(lang_col).alias("lang"),
-        _row_hash(id_col, lang_col, text_col).alias("row_hash"),
+        F.unhex(_row_hash(id_col, lang_col, text_col)).alias("row_hash"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     ).withColumn("length", F.length("text"))
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
@@ -280,7 +280,7 @@ def judge_quality(
             packed.join(expected, "chunk", "left")
             .groupBy("chunk")
             .cogroup(answered.groupBy("chunk"))
-            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash string, length int, perplexity double"),
+            .applyInArrow(_scored, "chunk long, pos int, doc_id long, lang string, row_hash binary, length int, perplexity double"),
             "perplexities",
         )
         near = F.array(band - 1, band, band + 1, F.lit(None))  # null: all bands of the language
@@ -301,7 +301,7 @@ def judge_quality(
         scores.join(banded, F.col("lang").eqNullSafe(F.col("of")) & (band == F.col("near")), "left")
         .join(whole, F.col("lang").eqNullSafe(F.col("of_all")), "left")
         .withColumn("threshold", F.coalesce("banded", "whole"))
-        .select("doc_id", "lang", "row_hash", "perplexity", "threshold", keep.alias("keep"))
+        .select("doc_id", "lang", F.hex("row_hash").alias("row_hash"), "perplexity", "threshold", keep.alias("keep"))
     )
 
 
