@@ -28,17 +28,17 @@ def query(fn):
 # --- hierarchy -----------------------------------------------------------
 @query
 def hierarchy_flatten_current(spark: SparkSession, sf: str) -> DataFrame:
-    return epics.epic_current(I.issue_current(spark, sf))
+    return epics.epic_current(I.issue_current(spark, sf), staged=True)
 
 
 @query
 def hierarchy_flatten_snapshots(spark, sf):
-    return epics.epic_history(I.issue_history(spark, sf))
+    return epics.epic_history(I.issue_history(spark, sf), staged=True)
 
 
 @query
 def hierarchy_flatten_recent(spark, sf):
-    return epics.epic_history(hierarchy.recent_rows(I.issue_history(spark, sf), I.AS_OF))
+    return epics.epic_history(hierarchy.recent_rows(I.issue_history(spark, sf), I.AS_OF), staged=True)
 
 
 # --- story and feature sources -------------------------------------------
@@ -525,6 +525,7 @@ def stories_table(spark, sf):
         feature_lookup(spark, sf),
         I.AS_OF,
         dates_from=snapshots.where("ISSUE_KEY is not null"),
+        staged=True,
     )
 
 
@@ -532,12 +533,13 @@ def _epics_marked(spark, sf):
     snapshots = I.issue_history(spark, sf)
     return epics.epics_marked(
         hierarchy_flatten_current(spark, sf),
-        epics.epic_history_unique(snapshots),
+        epics.epic_history_unique(snapshots, staged=True),
         agile_rollup_current(spark, sf),
         agile_rollup_snapshots(spark, sf),
         _lookups(spark, sf),
         I.AS_OF,
         dates_from=snapshots.where("ISSUE_TYPE = 'Epic' and ISSUE_KEY is not null"),
+        staged=True,
     )
 
 

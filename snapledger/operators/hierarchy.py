@@ -12,6 +12,40 @@ from snapledger.functions.dates import recent_bound
 from snapledger.functions.text import parse_column
 from snapledger.operators.joins import left_lookup
 from snapledger.operators.merge import latest_per_key
+from snapledger.session import stage
+
+
+def split_levels(
+    items: DataFrame,
+    snapshot: str | None = None,
+    levels: Mapping[str, list[str]] = fixed.LEVEL_COLUMNS,
+    kind: str = "ISSUE_TYPE",
+    key: str = "ISSUE_KEY",
+    parent: str = "PARENT_KEY",
+) -> DataFrame:
+    """The rows of all levels, staged in a folder for each level by one pass over ``items``.
+
+    Only columns that a level uses are written for it. A filter on ``kind`` then
+    reads that level's folder alone, and its size is known to the planner. For
+    sources that are expensive to read once per level: joins, JDBC, wide text files.
+    """
+    source = F.col(f"`{kind}`")
+    used: dict[str, list[str]] = {}
+    for level, columns in levels.items():
+        for name, _ in map(parse_column, columns):
+            used.setdefault(name, []).append(level)
+    # The structure's own columns are needed on every level.
+    fixed_columns = [parent, key] + ([snapshot] if snapshot else [])
+    rows = items.where(source.isin(list(levels))).select(
+        *[F.col(f"`{c}`") for c in fixed_columns],
+        *[
+            F.when(source.isin(on), F.col(f"`{c}`")).alias(c)
+            for c, on in used.items()
+            if c not in {*fixed_columns, kind}
+        ],
+        source,
+    )
+    return stage(rows, "levels", partition_by=kind)
 
 
 def flatten_hierarchy(
@@ -22,6 +56,7 @@ def flatten_hierarchy(
     key: str = "ISSUE_KEY",
     parent: str = "PARENT_KEY",
     unique: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """One wide row per leaf. ``levels`` maps kind -> columns, leaf first.
 
@@ -29,6 +64,7 @@ def flatten_hierarchy(
     link leaves everything above it null. A key that occurs more than once on a
     level gives a row for each; ``unique`` first keeps one row per key and
     snapshot on every level, so that repeated keys do not multiply each other.
+    ``staged`` reads ``items`` once (see :func:`split_levels`) and not once per level.
 
     The chain is joined from the root down, so the upper levels, each a fraction
     of the one below, are resolved among themselves and the leaf table is
@@ -36,6 +72,8 @@ def flatten_hierarchy(
     may be regrouped like this because a missing child has no parent to match.
     """
     day = [snapshot] if snapshot else []
+    if staged:
+        items = split_levels(items, snapshot, levels, kind, key, parent)
     upper = None
     for level, columns in reversed(list(levels.items())):
         rows = items.where(F.col(kind) == level).select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from snapledger import fixed
 from snapledger.functions.casting import coerce, to_date
-from snapledger.functions.dates import now_literal
+from snapledger.functions.dates import now_literal, today_literal
 from snapledger.functions.text import title_name
 from snapledger.operators.align import union_aligned
 from snapledger.operators.columns import rename_all
@@ -36,17 +36,17 @@ ROLLUP_COLUMNS = ["FEATURE_ID", fixed.GROUP, "STORY_POINTS", "STATUS", "BEGIN_DA
 CURRENT = ["CURRENT_SPRINT"]
 
 
-def epic_current(issues: DataFrame) -> DataFrame:
-    return flatten_hierarchy(issues).select(fixed.EPIC_KEY, *fixed.FLAT_COLUMNS)
+def epic_current(issues: DataFrame, staged: bool = False) -> DataFrame:
+    return flatten_hierarchy(issues, staged=staged).select(fixed.EPIC_KEY, *fixed.FLAT_COLUMNS)
 
 
-def epic_history(snapshots: DataFrame) -> DataFrame:
-    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT))
+def epic_history(snapshots: DataFrame, staged: bool = False) -> DataFrame:
+    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT, staged=staged))
 
 
-def epic_history_unique(snapshots: DataFrame) -> DataFrame:
+def epic_history_unique(snapshots: DataFrame, staged: bool = False) -> DataFrame:
     """:func:`epic_history` with one row per epic and date."""
-    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT, unique=True))
+    return _dated(flatten_hierarchy(snapshots, fixed.SNAPSHOT, unique=True, staged=staged))
 
 
 def _dated(flat: DataFrame) -> DataFrame:
@@ -149,17 +149,25 @@ def epics_marked(
     strict: bool = False,
     dates_from: DataFrame | None = None,
     known: list | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """The report with current rows still marked by a null snapshot date.
 
     ``history`` holds one row per epic and date and each roll-up one row per key
     and group, so joined history rows are distinct; so are joined current rows
-    once the current rows are. No distinct over the union is needed.
+    once the current rows are. No distinct over the union is needed. Current rows
+    are read by the report, its copies and the release range; ``staged`` makes
+    them distinct once for all three.
     """
     current = coerce(current, fixed.EPIC_TYPES).distinct()
+    if staged:
+        current = stage(current, "epics-current")
     history = coerce(history, fixed.EPIC_TYPES)
     filled = fill_missing_snapshots(current, history, as_of, dates_from=dates_from, known=known)
-    filled = filled.withColumn(fixed.SNAPSHOT, to_date(F.col(fixed.SNAPSHOT)))
+    # History is dated by its key. A column that cannot be null says so to the planner,
+    # which then drops this branch under a filter on the null date of current rows.
+    day = to_date(F.col(fixed.SNAPSHOT))
+    filled = filled.where(day.isNotNull()).withColumn(fixed.SNAPSHOT, F.coalesce(day, today_literal(as_of)))
     if strict:
         lookups.check_unique()
     rows = union_aligned(
@@ -203,8 +211,8 @@ class EpicsReport:
 
     def update_history(self, force: bool = False) -> DataFrame:
         return self.store.update(
-            lambda: epic_history_unique(self.issue_snapshots),
-            lambda: epic_history_unique(recent_rows(self.issue_snapshots, self.as_of)),
+            lambda: epic_history_unique(self.issue_snapshots, staged=True),
+            lambda: epic_history_unique(recent_rows(self.issue_snapshots, self.as_of), staged=True),
             force,
         )
 
@@ -222,7 +230,7 @@ class EpicsReport:
         self, history: DataFrame, story_snapshots: DataFrame, lookups: SprintLookups, strict: bool
     ) -> DataFrame:
         return epics_marked(
-            epic_current(self.issues),
+            epic_current(self.issues, staged=True),
             history,
             agile_current(self.stories),
             agile_history(story_snapshots),
@@ -230,6 +238,7 @@ class EpicsReport:
             self.as_of,
             strict,
             known=self.store.days(),
+            staged=True,
         )
 
     def run(

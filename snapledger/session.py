@@ -39,17 +39,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts lineage in a way that outlives executors, keeps a source from being
     read twice, and gives the planner the true size of the table: a join with
     it is broadcast only when that size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and is shuffled otherwise.
+    ``spark.sql.autoBroadcastJoinThreshold`` and is shuffled otherwise. With
+    ``partition_by``, the last column, each of its values has a folder.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     log.info("staged %s at %s", name, path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._staged_at = path

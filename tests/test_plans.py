@@ -65,6 +65,48 @@ def test_leaf_table_is_shuffled_once(spark, settings, tmp_path):
     assert "AS EPIC_SUMMARY" not in upper.split("SortMergeJoin", 1)[1]
 
 
+def test_staged_levels_read_the_items_once(spark, sf, tmp_path, monkeypatch):
+    path = str(tmp_path / "items")
+    I.issue_history(spark, sf).write.parquet(path)
+    items = spark.read.parquet(path)
+    made = []
+    monkeypatch.setattr(hierarchy, "stage", lambda df, *args, **more: made.append(df) or stage(df, *args, **more))
+    plain, once = epics.epic_history_unique(items), epics.epic_history_unique(items, staged=True)
+    (written,) = made
+    assert plan(written).count("FileScan") == 1
+    assert plan(plain).count(f"file:{path}") == 5
+    text = plan(once)
+    assert path not in text
+    # Each level reads its own folder, and only its own columns.
+    assert text.count("PartitionFilters: [isnotnull(ISSUE_TYPE") == 5
+    leaf = [line for line in text.splitlines() if "ISSUE_TYPE#" in line and "= Epic)" in line]
+    assert leaf and not any("FIX_VERSION" in line for line in leaf)
+    assert Counter(once.collect()) == Counter(plain.collect())
+
+
+def test_staged_levels_keep_edge_cases(spark):
+    """Empty tables, missing levels, null kinds and dates, extra columns."""
+    columns = ("SNAPSHOT_DATE date, ISSUE_KEY string, PARENT_KEY string, ISSUE_TYPE string, SUMMARY string, "
+               "ESTIMATE double, OPEN_ESTIMATE double, SWAG double, PROGRAM_PRIORITY string, FIX_VERSION string, "
+               "EXTRA string")
+    rest = ("s", 1.0, 2.0, 3.0, "p", "26.1", "x")
+    data = [
+        (DAY, "e", "f", "Epic", *rest), (DAY, "f", None, "Feature", *rest), (None, "e2", "f", "Epic", *rest),
+        (DAY, None, "f", "Epic", *rest), (DAY, "n", "f", None, *rest), (DAY, "o", "f", "Other", *rest),
+    ]
+    for rows in ([], data[:1], data):
+        items = spark.createDataFrame(rows, columns)
+        for flat in (epics.epic_history, epics.epic_history_unique, epics.epic_current):
+            assert Counter(flat(items, staged=True).collect()) == Counter(flat(items).collect())
+
+
+@pytest.mark.parametrize("name", ["stories", "epics"])
+def test_current_rows_are_made_distinct_once(spark, sf, name):
+    """The report and its copies read one staged table."""
+    files = QUERIES[f"{name}_table"](spark, sf).inputFiles()
+    assert any(f"/{name}-current-" in file for file in files)
+
+
 def test_merge_uses_an_anti_join_and_reduces_before_the_shuffle(spark, sf):
     text = plan(QUERIES["snapshot_merge"](spark, sf))
     assert "LeftAnti" in text
