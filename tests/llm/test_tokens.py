@@ -156,3 +156,51 @@ def test_genetic_steps_keep_every_item():
 def test_packing_is_close_to_the_bound(spark, sf):
     got = QUERIES["op2_best_fit_packing"](spark, sf).collect()
     assert check_packing(got, 1024) <= 1.02 * (sum(r.length for r in got) / 1024) + 2
+
+
+def triplets(rng, n):
+    """Sizes that fill ``n`` sequences of 1024 exactly, three each; best fit does not find that."""
+    out = []
+    for _ in range(n):
+        a = rng.randint(390, 500)
+        b = rng.randint(260, (1024 - a) // 2)
+        out += [a, b, 1024 - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_search_beats_its_best_first_packing():
+    for seed in range(3):
+        sizes = np.array(triplets(random.Random(seed), 100), np.int64)
+        first = packing.pack_in_order(sizes, np.argsort(-sizes, kind="stable").tolist(), 1024)
+        islands = [[], []]
+        for epoch in range(2):
+            islands = [
+                [p.assign for p in packing.evolve(sizes, islands[i] + islands[1 - i][:1], 1024, random.Random(f"{seed}{i}{epoch}"))]
+                for i in range(2)
+            ]
+        end = min(len(set(e.tolist())) for island in islands for e in island)
+        assert 100 <= end <= first.bins - 3
+
+
+def as_pieces(spark, sizes):
+    rows = [(i, 0, 0, int(n), i) for i, n in enumerate(sizes)]
+    return spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+
+
+@pytest.mark.parametrize("kind", ["mixed", "triplets", "large", "equal"])
+def test_dealings_lose_nothing_and_come_near_the_bound(spark, monkeypatch, kind):
+    """Many blocks, twenty times smaller than real ones: any sizes, sizes that best fit packs badly, that
+    never fit together, and ties."""
+    monkeypatch.setattr(packing, "_BLOCK", 100)
+    rng = random.Random(kind)
+    sizes = {
+        "mixed": [rng.randint(1, 1024) for _ in range(1500)],
+        "triplets": triplets(rng, 100),
+        "large": [rng.randint(600, 1023) for _ in range(300)],
+        "equal": [256] * 403,
+    }[kind]
+    got = packing.pack(as_pieces(spark, sizes)).collect()
+    assert sorted((r.doc_id, r.length) for r in got) == list(enumerate(sizes))
+    plain = packing.pack_in_order(np.array(sizes), np.argsort(-np.array(sizes), kind="stable").tolist(), 1024).bins
+    assert check_packing(got, 1024) <= {"mixed": 1.02 * plain, "triplets": plain, "large": 300, "equal": 101}[kind]
