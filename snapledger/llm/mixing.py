@@ -21,8 +21,11 @@ from snapledger.session import stage
 # Fixed value: the characters that separate words, as in the pattern [^\x20\x09-\x0D]+.
 SEPARATORS = " \t\n\x0b\f\r"
 
-_BLOCK_ROWS = 256  # rows of a block, more only where there would be over _MOST_BLOCKS
-_MOST_BLOCKS = 1 << 20
+_BLOCK_ROWS = 256  # rows of a block, on average
+# Shards draw runs of blocks, longer where there are more of them, since one row
+# holds a draw. Which documents are taken does not depend on it.
+_MOST_DRAWS = 1 << 20
+_RANGE_BITS = 12
 
 
 def word_count(text: Column) -> Column:
@@ -148,6 +151,38 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("low").alias("shard"), F.inline("quotas")).select("number", "shard", "blocks")
 
 
+def in_random_order(blocks: DataFrame, seed: int) -> DataFrame:
+    """``blocks`` (number, block, words) with ``rank`` (from 0) and ``words_before`` in each source's order.
+
+    The order is that of a hash. It is cut into equal ranges of the hash, and only
+    the totals of a source's ranges meet in one task.
+    """
+    hashed = stage(
+        blocks.withColumn("hash", F.xxhash64(F.lit(seed), "number", "block")).withColumn(
+            "range", F.shiftright("hash", 64 - _RANGE_BITS)
+        ),
+        "mix-hashed",
+    )
+    ranges = Window.partitionBy("number").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        hashed.groupBy("number", "range")
+        .agg(F.count("*").alias("n"), F.sum("words").alias("w"))
+        .select(
+            "number", "range",
+            F.coalesce(F.sum("n").over(ranges), F.lit(0)).alias("n_start"),
+            F.coalesce(F.sum("w").over(ranges), F.lit(0)).alias("w_start"),
+        )
+    )
+    order = Window.partitionBy("number", "range").orderBy("hash", "block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        hashed.join(starts, ["number", "range"])
+        .withColumn("rank", F.col("n_start") + F.row_number().over(order) - 1)
+        .withColumn("words_before", F.col("w_start") + F.coalesce(F.sum("words").over(before), F.lit(0)))
+        .select("number", "block", "words", "rank", "words_before")
+    )
+
+
 def plan_mix(
     docs: DataFrame,
     weights: list[float],
@@ -180,27 +215,18 @@ def plan_mix(
     wanted = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(0).cast("int")
     sources = targets.withColumn("passes", passes).withColumn("owed", wanted - F.col("passes") * F.col("source_size"))
-    all_rows = F.sum("n").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    block_rows = F.greatest(F.lit(_BLOCK_ROWS), F.ceil(all_rows / _MOST_BLOCKS))
-    sources = stage(sources.withColumn("n_blocks", F.ceil(F.col("n") / block_rows).cast("long")), "mix-sources")
+    sources = stage(sources.withColumn("n_blocks", F.ceil(F.col("n") / _BLOCK_ROWS).cast("long")), "mix-sources")
 
     numbered = sized.alias("d").join(
         sources.select("source", "number", "n_blocks").alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))
     ).select("d.*", "number", F.pmod(F.xxhash64("row_hash", F.lit("block")), F.col("n_blocks")).alias("block"))
     numbered = stage(numbered, "mix-rows")
 
-    order = Window.partitionBy("number").orderBy(F.xxhash64(F.lit(seed), "number", "block"), "block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    sized_blocks = numbered.groupBy("number", "block").agg(F.sum("size").alias("words"))
     blocks = (
-        numbered.groupBy("number", "block")
-        .agg(F.sum("size").alias("words"))
+        in_random_order(sized_blocks, seed)
         .join(sources.select("number", "passes", "owed"), "number")
-        .withColumns(
-            {
-                "rank": F.row_number().over(order) - 1,
-                "room": F.col("owed") - F.coalesce(F.sum("words").over(before), F.lit(0)),
-            }
-        )
+        .withColumn("room", F.col("owed") - F.col("words_before"))
         .withColumn("whole", (F.col("room") > 0) & (F.col("words") <= F.col("room")))
         .withColumn("part", (F.col("room") > 0) & (F.col("words") > F.col("room")))
     )
@@ -239,8 +265,16 @@ def plan_mix(
 
     # Exact quotas of blocks, split among the shards; then each shard's run of every source's order.
     drawn = blocks.withColumn("times", F.col("passes") + (F.col("whole") | F.col("part")).cast("int"))
-    quotas = drawn.groupBy("number").agg(F.sum("times").cast("long").alias("blocks"))
-    split = split_quotas(quotas, n_shards, seed)
+    whole_table = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    quotas = stage(
+        drawn.groupBy("number")
+        .agg(F.sum("times").cast("long").alias("blocks"))
+        .withColumn("run", F.greatest(F.lit(1), F.ceil(F.sum("blocks").over(whole_table) / _MOST_DRAWS)).cast("long")),
+        "mix-quotas",
+    )
+    split = split_quotas(
+        quotas.select("number", F.ceil(F.col("blocks") / F.col("run")).cast("long").alias("blocks")), n_shards, seed
+    )
     runs = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shares = stage(
         split.withColumn("first", F.coalesce(F.sum("blocks").over(runs), F.lit(0))).where("blocks > 0"), "mix-shares"
@@ -251,12 +285,13 @@ def plan_mix(
         drawn.where("times > 0")
         .join(n_blocks, "number")
         .join(per_source, "number")
+        .join(quotas.select("number", "run"), "number")
         .withColumn("places", F.transform(F.sequence(F.lit(0), F.col("times") - 1), lambda p: p * F.col("n_blocks") + F.col("rank")))
         .select(
             "number", "block", "part",
             F.transform(
                 "places",
-                lambda p: F.element_at(F.filter("runs", lambda r: r["first"] <= p), -1)["shard"],
+                lambda p: F.element_at(F.filter("runs", lambda r: r["first"] <= F.floor(p / F.col("run"))), -1)["shard"],
             ).alias("shards"),
         )
     )

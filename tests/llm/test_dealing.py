@@ -1,10 +1,12 @@
 """Mixing and sharding against plain versions."""
 
+import collections
 import random
 import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from snapledger.llm import mixing, sharding
 from snapledger.llm.queries import QUERIES
@@ -49,6 +51,35 @@ def test_mix(spark, sf, awkward, name):
     assert sorted(map(key, run().collect())) == sorted(map(key, got))
 
 
+def test_long_runs_deal_the_same_documents(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = lambda: {r.row_hash: r for r in mixing.plan_mix(docs, [3.0, 1.0, 2.0], 1.5, 2.0, n_shards=4).collect()}
+    monkeypatch.setattr(mixing, "_BLOCK_ROWS", 2)
+    one_by_one = plan()
+    monkeypatch.setattr(mixing, "_MOST_DRAWS", 16)
+    in_runs = plan()
+    assert {k: r.copies for k, r in one_by_one.items()} == {k: r.copies for k, r in in_runs.items()}
+    assert any(r.shards != in_runs[k].shards for k, r in one_by_one.items())
+    dealt = collections.Counter(s for r in in_runs.values() for s in r.shards)
+    assert set(dealt) == {0, 1, 2, 3} and max(dealt.values()) < 3 * min(dealt.values())
+
+
+@pytest.mark.parametrize("bits", [1, 4, 12])
+def test_random_order_is_one_order_for_any_ranges(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "_RANGE_BITS", bits)
+    rows = [(n, b, 10 * n + b % 7) for n in (1, 2) for b in range(150 * n)]
+    df = spark.createDataFrame(rows, "number int, block long, words long")
+    got = mixing.in_random_order(df, seed=3).collect()
+    assert len(got) == len(rows)
+    hashes = {(r.number, r.block): r.h for r in df.select("number", "block", F.xxhash64(F.lit(3), "number", "block").alias("h")).collect()}
+    for n in (1, 2):
+        mine = sorted((r for r in got if r.number == n), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(150 * n))
+        assert [hashes[n, r.block] for r in mine] == sorted(hashes[n, r.block] for r in mine)
+        assert [r.words_before for r in mine] == [sum(q.words for q in mine[:i]) for i in range(len(mine))]
+    assert mixing.in_random_order(df.limit(0), seed=3).count() == 0
+
+
 def test_mixed_rows_follow_the_plan(spark, awkward, empty):
     plan = mixing.plan_mix(awkward, [3.0, 1.0, 2.0], 1.5, 2.0).collect()
     mixed = mixing.mix_documents(awkward, [3.0, 1.0, 2.0], 1.5, 2.0)
