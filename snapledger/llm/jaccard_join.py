@@ -372,9 +372,23 @@ def rare_links(docs: DataFrame, size: int, percent: int) -> DataFrame:
     # Elements that one document has come first and need no rows.
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("holders", "element"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = F.first("node").over(Window.partitionBy("element").orderBy("node"))
-    linked = shared.withColumn("place", place).where(F.col("place") <= prefix).withColumn("first", first)
-    return linked.select(F.col("node").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
+    # An element of n sets is dealt to about sqrt(n) parts; the first of each part
+    # then meet, so no task holds more than about sqrt(n) of its rows at a time.
+    parts = F.ceil(F.sqrt("holders") / 8)
+    in_part = Window.partitionBy("element", "part").orderBy("node")
+    linked = stage(
+        shared.withColumn("place", place)
+        .where(F.col("place") <= prefix)
+        .withColumns({"parts": parts, "part": F.pmod(F.xxhash64("node"), parts)})
+        .withColumn("first", F.first("node").over(in_part))
+        .select("element", "parts", "node", "first"),
+        "rare-elements",
+    )
+    heads = linked.where("parts > 1 and node = first")
+    least = F.first("node").over(Window.partitionBy("element").orderBy("node"))
+    links = linked.select(F.col("node").alias("a"), F.col("first").alias("b"))
+    links = links.unionByName(heads.select(F.col("node").alias("a"), least.alias("b")))
+    return links.where("a <> b").distinct()
 
 
 # --- the operator ----------------------------------------------------------

@@ -224,6 +224,17 @@ def test_join(spark, monkeypatch, size, percent, block):
     assert 1 < len(set(want.values())) < len(rows)
 
 
+def test_holders_of_one_element_are_linked_in_parts(spark):
+    rows = [(i, f"the same four words {i}") for i in range(1, 1201)] + [(5000 + i, f"pair of words {i // 2}") for i in range(8)]
+    df = spark.createDataFrame(rows, "node long, text string").repartition(4)
+    links = [tuple(r) for r in jaccard_join.rare_links(df, 4, 50).collect()]
+    assert classes([i for i, _ in rows], links) == {i: 1 if i < 5000 else i - i % 2 for i, _ in rows}
+    assert all(a > b for a, b in links)
+    # Some are linked to the first of their part, and those to the first of all.
+    assert 1 < len({b for _, b in links if b < 5000}) <= 5 and len(links) < 1300
+    assert jaccard_join.rare_links(df.limit(0), 4, 50).count() == 0
+
+
 def test_join_awkward(spark, awkward, empty):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     got = jaccard_join.similar_documents(awkward, 5, 80).collect()
