@@ -282,12 +282,27 @@ def test_pipeline_stages(spark, sf, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == len(got)
 
 
+@pytest.mark.parametrize("kind", ["awkward", "empty"])
+def test_pipeline_stages_on_awkward_tables(spark, sf, tmp_path, request, kind):
+    docs = request.getfixturevalue(kind)
+    for name, stage in corpus_pipeline.STAGES:
+        before, columns = docs.collect(), docs.columns
+        stage(spark, docs, sf).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "pack":
+            assert docs.columns == columns
+            assert {(r.doc_id, r.text) for r in docs.collect()} <= {(r.doc_id, r.text) for r in before}
+    check_packing(docs.collect(), 1024)
+    if kind == "empty":
+        assert docs.count() == 0
+
+
 def test_every_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
