@@ -209,7 +209,9 @@ def pack(found: DataFrame, capacity=1024, seed=0) -> DataFrame:
 
     Blocks are dealt by a hash of the row's number, so no key can make one block
     large. Each dealing is a job over what the one before left: at most the share
-    ``_SHRINK`` of it, or half once blocks are searched.
+    ``_SHRINK`` of it, or half once blocks are searched. Every table goes the same
+    way: best fit until it leaves more than that share, then the search until one
+    block holds what is left.
     """
     rows = stage(found, "pieces").withColumn("row", F.monotonically_increasing_id())
     full = rows.where(F.col("length") == capacity).withColumns(
@@ -217,7 +219,7 @@ def pack(found: DataFrame, capacity=1024, seed=0) -> DataFrame:
     )
     rest, level = rows.where(F.col("length") < capacity), 0
     n, done, search = rest.count(), [full], False
-    while n > _BLOCK:
+    while n and not (search and n <= _BLOCK):
         solve = _search if search else _fill_blocks
         packed = stage(solve(_deal(rest, n, seed, level), n, capacity, seed, level), f"packed-{level}")
         done.append(packed.where("stays").drop("stays"))

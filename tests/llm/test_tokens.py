@@ -204,3 +204,21 @@ def test_dealings_lose_nothing_and_come_near_the_bound(spark, monkeypatch, kind)
     assert sorted((r.doc_id, r.length) for r in got) == list(enumerate(sizes))
     plain = packing.pack_in_order(np.array(sizes), np.argsort(-np.array(sizes), kind="stable").tolist(), 1024).bins
     assert check_packing(got, 1024) <= {"mixed": 1.02 * plain, "triplets": plain, "large": 300, "equal": 101}[kind]
+
+
+def test_packing_goes_one_way_at_every_size(spark, monkeypatch):
+    """One block or many: best fit first, then the search; no more sequences than either alone finds."""
+    steps = []
+    for name in ("_fill_blocks", "_search"):
+        step = getattr(packing, name)
+        monkeypatch.setattr(packing, name, lambda *args, name=name, step=step: steps.append(name) or step(*args))
+    rng = random.Random(1)
+    sizes = [rng.randint(200, 500) for _ in range(400)]
+    for block in (2048, 100):
+        monkeypatch.setattr(packing, "_BLOCK", block)
+        steps.clear()
+        got = packing.pack(as_pieces(spark, sizes)).collect()
+        check_packing(got, 1024)
+        assert len(got) == 400 and steps[0] == "_fill_blocks" and steps[-1] == "_search"
+        first = steps.index("_search")
+        assert set(steps[:first]) == {"_fill_blocks"} and set(steps[first:]) == {"_search"}
