@@ -14,17 +14,23 @@ import hashlib
 import os
 import re
 from array import array
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from snapledger.llm.memory import give_back
 
 # Where a text may be cut.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _SPACE_IN_SPACE = re.compile(r"\s[ \n]")
-_MARK_AFTER_OTHER = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ][,.]")
+# Texts that hold none of these cannot match the pattern above, which takes longer to find out.
+_MAY_BE_SPACE_IN_SPACE = [a + b for a in " \n" for b in " \n"]
+_MAY_BE_SPACE_IN_SPACE += [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+# A comma or full stop that does not follow a letter, the first character included.
+_MARK_AFTER_OTHER = re.compile(r"[,.](?<![A-Za-zÀ-ÖØ-öø-ÿ][,.])")
 
+_MARK = "\0"
 _STARTS = (" ", "\n")
 
 _KEEP_PARTS = 400_000  # entries of each of a worker's two tables, about 70 MB
@@ -62,6 +68,10 @@ def forget_encoders() -> None:
     give_back()
 
 
+def _has_space_in_space(text: str) -> bool:
+    return any(map(text.__contains__, _MAY_BE_SPACE_IN_SPACE)) and bool(_SPACE_IN_SPACE.search(text))
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -91,43 +101,64 @@ class Encoder:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         if not self.splittable:
             return self._whole(texts)
-        cut = [self._cut(text) for text in texts]
+        marked = [self._marked(text) for text in texts]
+        cut = pc.split_pattern(pa.array(marked, pa.large_string()), _MARK)
+        named = cut.flatten().dictionary_encode()
         if len(self.parts) > _KEEP_PARTS:
             # Parts that are still in use move from the older table to the newer.
             self.older, self.parts = self.parts, {}
+        found = self._find(named.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # The ids of the different parts lie end to end; each place in a text takes its part's.
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        part = named.indices.to_numpy()
+        taken = sizes[part]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[part] - ends[:-1], taken)
+        at += np.arange(len(at))
+        ids = flat[at].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        out = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        # The library itself encodes texts that hold the mark.
+        odd = [i for i, text in enumerate(texts) if _MARK in text]
+        for i, own in zip(odd, self._whole([texts[i] for i in odd]) if odd else []):
+            out[i] = own
+        return out
+
+    def _find(self, names: list[str]) -> list[bytes]:
+        """Ids of different parts, from the worker's tables or the library."""
         parts, older = self.parts, self.older
-        # The parts of this call make a table small enough to stay in the processor's cache.
-        own = dict.fromkeys(chain.from_iterable(cut))
-        missing = []
-        for part in own:
-            ids = parts.get(part)
-            if ids is None:
-                ids = older.get(part)
-                if ids is None:
-                    missing.append(part)
-                    continue
-                parts[part] = ids
-            own[part] = ids
-        if missing:
-            found = self._encode_parts(missing)
-            own.update(found)
-            parts.update((part, ids) for part, ids in found.items() if len(part) <= _KEEP_CHARS)
-        get = own.__getitem__
-        return [b"".join(map(get, text)) for text in cut]
+        found = list(map(parts.get, names))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        if absent and older:
+            for i in absent:
+                found[i] = older.get(names[i])
+            parts.update((names[i], found[i]) for i in absent if found[i] is not None)
+            absent = [i for i in absent if found[i] is None]
+        if absent:
+            missing = [names[i] for i in absent]
+            new = self._encode_parts(missing)
+            for i, part in zip(absent, missing):
+                found[i] = new[part]
+            parts.update((part, ids) for part, ids in new.items() if len(part) <= _KEEP_CHARS)
+        return found
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     @staticmethod
-    def _cut(text: str) -> list[str]:
-        if "\0" in text or _SPACE_IN_SPACE.search(text) or text[:1].isspace():
-            return _CUT.split(text)
-        text = text.replace(" ", "\0 ").replace("\n", "\0\n")
+    def _marked(text: str) -> str:
+        """The text with a mark at each place where it is cut; empty if it holds the mark."""
+        if _MARK in text:
+            return ""
+        if text[:1].isspace() or _has_space_in_space(text):
+            return _MARK.join(_CUT.split(text))
+        text = text.replace(" ", _MARK + " ").replace("\n", _MARK + "\n")
         # Before commas and full stops only where all of them follow a letter.
-        if text[:1] not in ",." and not _MARK_AFTER_OTHER.search(text):
-            text = text.replace(",", "\0,").replace(".", "\0.")
-        return text.split("\0")
+        if not _MARK_AFTER_OTHER.search(text):
+            text = text.replace(",", _MARK + ",").replace(".", _MARK + ".")
+        return text
 
     def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
         # Parts that start with white space and do not end with it may stand side by side.
