@@ -241,6 +241,20 @@ def test_split_lookup_deals_hot_and_null_keys(spark, settings, null_safe):
         skew.split_lookup(left, right.withColumn("d", F.lit("x")), ["k", "d"], ["id"])
 
 
+def test_features_are_joined_without_dealing_stories_by_date(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    left, right = crowded(spark)
+    names = lambda df: df.withColumnsRenamed({"k": "FEATURE_ID", "d": "SNAPSHOT_DATE"})
+    left, right = names(left), names(right)
+    want = Counter(joins.left_lookup(left, right, ["FEATURE_ID", "SNAPSHOT_DATE"], "_epics", null_safe=True).collect())
+    for keys_from in (None, left):
+        got = stories.join_features(left, right, keys_from, row="id")
+        assert Counter(got.collect()) == want
+        dealt = [line for line in plan(got).splitlines() if "hashpartitioning" in line]
+        assert any("FEATURE_ID" in line for line in dealt)
+        assert not any("SNAPSHOT_DATE" in line for line in dealt)
+
+
 def test_null_groups_of_a_fallback_are_spread(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     left, right = crowded(spark)
