@@ -27,6 +27,8 @@ from snapledger.session import stage
 ORDER = 4
 _START = "\x02"  # stands before a text, ORDER - 1 times
 _CHUNK_DOCS = 50_000
+_RUN_CHARS = 500_000  # characters whose n-grams are numbered at once
+_READ_ROWS = 512  # rows of a batch that are Python objects at once
 _CODEC = pa.Codec("zstd", compression_level=9)
 
 
@@ -46,7 +48,8 @@ def _chunked(rows, chunk_chars):
 
 def _rows(batches):
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns))
+        for start in range(0, batch.num_rows, _READ_ROWS):
+            yield from zip(*(c.to_pylist() for c in batch.slice(start, _READ_ROWS).columns))
 
 
 def _pack_chunks(batches, chunk_chars: int):
@@ -80,9 +83,22 @@ def _check(chunk: int, digest: str, expected: str | None) -> None:
         raise RuntimeError(f"chunk {chunk} differs from that of an earlier pass: the order of the rows is not fixed; stage them")
 
 
-def _grams(lengths: np.ndarray, size: int, texts: bytes):
-    """The distinct n-grams of a chunk, the number of each place's, and the first place of each document."""
+def _runs(lengths: np.ndarray, size: int, texts: bytes):
+    """Cuts a chunk into runs of whole documents, which bounds the arrays over its places.
+
+    Yields (slice of documents, distinct n-grams, the number of each place's, first place of each document)."""
     text = _CODEC.decompress(texts, size, asbytes=True).decode("utf-8", "surrogatepass")
+    ends = np.cumsum(lengths)
+    start = place = 0
+    while start < len(lengths):
+        stop = max(start + 1, int(np.searchsorted(ends, place + _RUN_CHARS, "right")))
+        last = int(ends[stop - 1])
+        yield slice(start, stop), *_grams(lengths[start:stop], text[place:last])
+        start, place = stop, last
+
+
+def _grams(lengths: np.ndarray, text: str):
+    """The distinct n-grams of documents laid end to end, the number of each place's, and the first place of each document."""
     flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     before = ORDER - 1
     # Every text has the start mark in front, ORDER - 1 times.
@@ -118,15 +134,19 @@ def _asked(batches):
         for chunk, lengths, size, digest, texts, expected, trusted in _rows([batch]):
             _check(chunk, digest, expected)
             lengths = np.array(lengths, np.int64)
-            grams, number, _ = _grams(lengths, size, texts)
             chosen = np.zeros(len(lengths), bool)
             chosen[trusted or []] = True
-            count = np.bincount(number[np.repeat(chosen, lengths)], minlength=len(grams))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * len(grams), pa.int64()), pa.array(grams, pa.string()), pa.array(count, pa.int64())],
-                ["chunk", "gram", "n"],
+            parts = []
+            for run, grams, number, _ in _runs(lengths, size, texts):
+                count = np.bincount(number[np.repeat(chosen[run], lengths[run])], minlength=len(grams))
+                parts.append(pa.table({"gram": pa.array(grams, pa.string()), "n": pa.array(count, pa.int64())}))
+                del grams, number, count
+            whole = pa.concat_tables(parts).group_by("gram", use_threads=False).aggregate([("n", "sum")])
+            named = pa.table(
+                {"chunk": pa.array([chunk] * whole.num_rows, pa.int64()), "gram": whole["gram"], "n": whole["n_sum"]}
             )
-            del grams, number, count
+            yield from named.combine_chunks().to_batches()
+            del parts, whole, named
     give_back()
 
 
@@ -150,12 +170,13 @@ def _scored(packed: pa.Table, answers: pa.Table) -> pa.Table:
     for chunk, ids, langs, hashes, lengths, size, digest, texts, expected in _rows(packed.to_batches()):
         _check(chunk, digest, expected)
         lengths = np.array(lengths, np.int64)
-        grams, number, firsts = _grams(lengths, size, texts)
-        logp = np.array([known[g] for g in grams], np.float64)[number]  # every n-gram has been asked for
         sums = np.zeros(len(lengths))
         full = lengths > 0
-        if full.any():
-            sums[full] = np.add.reduceat(logp, firsts[full])
+        for run, grams, number, firsts in _runs(lengths, size, texts):
+            logp = np.array([known[g] for g in grams], np.float64)[number]  # every n-gram has been asked for
+            if full[run].any():
+                sums[run][full[run]] = np.add.reduceat(logp, firsts[full[run]])
+            del grams, number, logp
         mean = np.divide(sums, lengths, out=np.full(len(lengths), np.nan), where=full)
         perplexity = pa.array(np.exp(-mean), mask=~full)
         out.append(

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +164,30 @@ def test_registered_toxicity(spark, sf):
 
 
 # --- quality -----------------------------------------------------------------
+def test_a_chunk_is_never_held_as_arrays_over_all_its_places():
+    texts = [prose(20 + i % 50, i) for i in range(1500)] * 8 + ["", "é\0x" * 200_000, ""]
+    raw = "".join(texts).encode()
+    assert len(raw) > 3_000_000
+    row = {
+        "chunk": [7], "lengths": [[len(t) for t in texts]], "size": [len(raw)], "digest": ["d"],
+        "texts": [quality._CODEC.compress(raw, asbytes=True)], "expected": ["d"], "trusted": [list(range(1600))],
+    }
+    tracemalloc.start()
+    asked = pa.Table.from_batches(quality._asked([pa.RecordBatch.from_pydict(row)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+    counts, every = collections.Counter(), set()
+    for i, text in enumerate(texts):
+        padded = "\x02" * 3 + text.replace("\0", "\ufffd")
+        grams = [padded[k : k + 4] for k in range(len(text))]
+        every.update(grams)
+        if i < 1600:
+            counts.update(grams)
+    got = dict(zip(asked["gram"].to_pylist(), asked["n"].to_pylist()))
+    assert got == {g: counts[g] for g in every} and len(asked) == len(every) and set(asked["chunk"].to_pylist()) == {7}
+
+
 def plain_perplexities(trusted, texts, order=4):
     start = "\x02" * (order - 1)
     counts = {order: collections.Counter()}
