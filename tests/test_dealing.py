@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as I
 from catalog.queries import QUERIES
 from snapledger import fixed
-from snapledger.operators import gapfill, hierarchy, profile
+from snapledger.operators import gapfill, hierarchy, profile, sprints
 from snapledger.plans import epics
 from snapledger.session import open_files, stage
 from snapledger.sources.reports import ReportFolder
@@ -116,3 +116,20 @@ def test_estimated_counts_of_many_columns_are_all_near(spark):
     for rows, n in ((df, 20000), (df.where("c0 is null"), 0)):
         found = [r.UNIQUES for r in profile.profile(rows, exact=False).collect()]
         assert len(found) == 60 and all(abs(u - n) <= 0.1 * n for u in found)
+
+
+@pytest.mark.parametrize("made", [
+    lambda df: sprints.sprint_range(df, ["G"]), lambda df: sprints.sprint_summary(df, DAY, ["G"]).drop("INSIDE", "CURRENT_SPRINT"),
+])
+def test_sprint_names_are_matched_once_a_row(spark, made):
+    """Not once for each part of the version."""
+    rows = [("a", n, DAY, DAY) for n in ("T 26.1.IP", "T 26.2.3", "T 26.1.12 ", "none", None)] + [("b", None, None, None)]
+    got = made(spark.createDataFrame(rows, "G string, SPRINT_NAME string, BEGIN_DATE date, END_DATE date"))
+    assert plan(got).count(f"{fixed.SPRINT_AT_END}, 1)") == 1
+
+
+def test_sprint_summary_keys(spark):
+    rows = [("a", n, DAY, NEXT) for n in ("T 26.1.IP", "T 26.2.3", "none", None)] + [("b", None, None, None)]
+    df = spark.createDataFrame(rows, "G string, SPRINT_NAME string, BEGIN_DATE date, END_DATE date")
+    want = {("a", True, "26.1.IP", 260199, 260199), ("a", True, "26.2.3", 260203, 260203), ("a", True, None, 0, 0), ("b", False, None, 0, 0)}
+    assert set(map(tuple, sprints.sprint_summary(df, DAY, ["G"]).collect())) == want
