@@ -24,25 +24,48 @@ def _plain(name: str, t: T.DataType) -> Column:
     return c
 
 
-def _sketch(f: T.StructField) -> Column:
-    """A sketch of the different values of a column, nulls left out."""
-    value = F.when(F.col(f"`{f.name}`").isNotNull(), F.xxhash64(F.lit(1), _plain(f.name, f.dataType)))
-    return F.hll_sketch_agg(value, SKETCH_BITS)
+def _hashed(df: DataFrame) -> DataFrame:
+    """``df`` with a column ``__h0``, ``__h1``, ... for each of its own: the hash of the value,
+    null for null. A sketch evaluates what it is given row by row without compiled code, so
+    it is given columns that are ready."""
+    hashes = {
+        f"__h{i}": F.when(F.col(f"`{f.name}`").isNotNull(), F.xxhash64(F.lit(1), _plain(f.name, f.dataType)))
+        for i, f in enumerate(df.schema)
+    }
+    return df.withColumns(hashes)
 
 
-def _cell(i: int, f: T.StructField) -> Column:
-    """(position, two halves of the value). Whole numbers and dates are their own first
-    half; anything else, long or short, is a 128-bit hash, so that a distinct count
-    moves numbers of fixed width and never whole texts."""
+def _held(i: int) -> Column:
+    """Values of a column that are not null, counted by their hashes: a second use keeps
+    the planner from moving the hash into the sketch."""
+    return F.count(f"__h{i}")
+
+
+def _sketch(i: int) -> Column:
+    """A sketch of the different values of a column of :func:`_hashed`, nulls left out."""
+    return F.hll_sketch_agg(F.col(f"__h{i}"), SKETCH_BITS)
+
+
+def _cell(i: int, f: T.StructField) -> list[Column]:
+    """Position, two halves of the value, and the value itself where it is a text, which
+    is hashed later. Whole numbers and dates are their own first half; anything else,
+    long or short, is a 128-bit hash, so that a distinct count moves numbers of fixed
+    width and never whole texts."""
     c = F.col(f"`{f.name}`")
-    if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        halves = (c.cast("long"), F.when(c.isNotNull(), F.lit(0).cast("long")))
-    elif isinstance(f.dataType, T.DateType):
-        halves = (F.unix_date(c).cast("long"), F.when(c.isNotNull(), F.lit(0).cast("long")))
+    none = F.lit(None)
+    if f.dataType == T.StringType():
+        cells = (none.cast("long"), none.cast("long"), c.cast("string"))
+    elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)):
+        whole = F.unix_date(c) if isinstance(f.dataType, T.DateType) else c
+        cells = (whole.cast("long"), F.when(c.isNotNull(), F.lit(0).cast("long")), none.cast("string"))
     else:
-        value = _plain(f.name, f.dataType)
-        halves = tuple(F.when(c.isNotNull(), F.xxhash64(F.lit(seed), value)) for seed in (1, 2))
-    return F.struct(F.lit(i).alias("__i"), halves[0].alias("a"), halves[1].alias("b"))
+        cells = (*_halves(c, _plain(f.name, f.dataType)), none.cast("string"))
+    return [F.lit(i).alias(f"i{i}"), *[v.alias(f"{name}{i}") for name, v in zip("abt", cells)]]
+
+
+def _halves(c: Column, value: Column) -> tuple[Column, Column]:
+    """Two hashes of ``value``, null where ``c`` is."""
+    return tuple(F.when(c.isNotNull(), F.xxhash64(F.lit(seed), value)) for seed in (1, 2))
 
 
 def _exact_uniques(df: DataFrame) -> DataFrame:
@@ -50,10 +73,16 @@ def _exact_uniques(df: DataFrame) -> DataFrame:
 
     Columns are unpivoted to narrow rows of fixed width, so one hash aggregate with
     partial aggregation serves all of them; several distinct counts in one
-    aggregate would copy the whole row once per column.
+    aggregate would copy the whole row once per column. Cells are plain columns, not
+    structs, and texts are hashed after the unpivot, by one expression for all columns.
     """
-    cells = df.select(*[_cell(i, f).alias(str(i)) for i, f in enumerate(df.schema)])
-    rows = cells.unpivot([], cells.columns, "column", "cell").select("cell.*")
+    cells = df.select(*[cell for i, f in enumerate(df.schema) for cell in _cell(i, f)])
+    names = ", ".join(f"(i{i}, a{i}, b{i}, t{i})" for i in range(len(df.columns)))
+    rows = df.sparkSession.sql(
+        f"select __i, a, b, t from {{cells}} unpivot include nulls ((__i, a, b, t) for __column in ({names}))", cells=cells
+    )
+    texts = _halves(F.col("t"), F.col("t"))
+    rows = rows.select("__i", *[F.coalesce(F.col(n), h).alias(n) for n, h in zip("ab", texts)])
     return rows.distinct().groupBy("__i").agg(F.count(F.lit(1)).alias("UNIQUES"))
 
 
@@ -68,12 +97,12 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        sums.append(F.count_if(c.isNull()).alias(f"n{i}"))
+        nulls = F.count_if(c.isNull()) if exact else F.count(F.lit(1)) - _held(i)
+        sums.append(nulls.alias(f"n{i}"))
         if _is_ordered(f.dataType):
             sums += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
         if not exact:
-            has_null = F.coalesce(F.max(c.isNull().cast("long")), F.lit(0))
-            sums.append((F.hll_sketch_estimate(_sketch(f)) + has_null).alias(f"u{i}"))
+            sums.append((F.hll_sketch_estimate(_sketch(i)) + (nulls > 0).cast("long")).alias(f"u{i}"))
 
     def line(i: int, f: T.StructField) -> Column:
         nulls, rows = F.col(f"n{i}"), F.col("__rows")
@@ -94,7 +123,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             cells.append(F.col(f"u{i}").alias("UNIQUES"))
         return F.struct(*cells)
 
-    lines = df.agg(*sums).select(
+    lines = (df if exact else _hashed(df)).agg(*sums).select(
         F.explode(F.array(*[line(i, f) for i, f in enumerate(fields)])).alias("l")
     ).select("l.*")
     if exact:
@@ -143,7 +172,7 @@ def profile_parts(df: DataFrame, by: str) -> DataFrame:
     sums = []
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        sums += [F.count_if(c.isNull()).alias(f"n{i}"), _sketch(f).alias(f"s{i}")]
+        sums += [(F.count(F.lit(1)) - _held(i)).alias(f"n{i}"), _sketch(i).alias(f"s{i}")]
         if _bounds_of(f.dataType):
             sums += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
 
@@ -159,7 +188,7 @@ def profile_parts(df: DataFrame, by: str) -> DataFrame:
             F.col("__rows").alias("ROW_COUNT"), F.col(f"n{i}").alias("NULLS"), F.col(f"s{i}").alias("SKETCH"), *bounds,
         )
 
-    grouped = df.groupBy(F.col(f"`{by}`").alias("__by")).agg(F.count(F.lit(1)).alias("__rows"), *sums)
+    grouped = _hashed(df).groupBy(F.col(f"`{by}`").alias("__by")).agg(F.count(F.lit(1)).alias("__rows"), *sums)
     lines = F.explode(F.array(*[line(i, f) for i, f in enumerate(fields)])).alias("l")
     return grouped.select(F.col("__by").alias(by), lines).select(f"`{by}`", "l.*")
 

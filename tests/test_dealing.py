@@ -133,3 +133,27 @@ def test_sprint_summary_keys(spark):
     df = spark.createDataFrame(rows, "G string, SPRINT_NAME string, BEGIN_DATE date, END_DATE date")
     want = {("a", True, "26.1.IP", 260199, 260199), ("a", True, "26.2.3", 260203, 260203), ("a", True, None, 0, 0), ("b", False, None, 0, 0)}
     assert set(map(tuple, sprints.sprint_summary(df, DAY, ["G"]).collect())) == want
+
+
+MIXED = ("a string, b long, c double, d date, e array<int>, f binary", [
+    ("", 0, 0.0, DAY, [1], b"x"), ("x", 0, -0.0, NEXT, [1], b"x"), ("x", -1, float("nan"), None, [1, None], b""),
+    (None, None, float("nan"), DAY, None, None), ("x ", 1, None, DAY, [], b"x"),
+])
+
+
+def test_cells_of_a_distinct_count_are_plain_columns(spark):
+    """No struct is made of a cell; texts are hashed after the unpivot, once for all columns."""
+    df = spark.createDataFrame(MIXED[1], MIXED[0])
+    text = plan(profile._exact_uniques(df.drop("e")))
+    assert "named_struct" not in text and "struct(" not in text
+    got = {r[0]: r.UNIQUES for r in profile._exact_uniques(df).collect()}
+    assert got == {0: 4, 1: 4, 2: 3, 3: 3, 4: 4, 5: 3}
+
+
+def test_sketches_are_given_hashes_that_are_ready(spark):
+    df = spark.createDataFrame(MIXED[1], MIXED[0])
+    for made in (profile.profile(df, exact=False), profile.profile_parts(df, "d").drop("POSITION")):
+        lines = [line for line in plan(made).splitlines() if "partial_hll_sketch_agg" in line]
+        assert lines and not any("xxhash64" in line for line in lines)
+    found = [(r.NULLS, r.UNIQUES) for r in profile.profile(df, exact=False).collect()]
+    assert found == [(1, 4), (1, 4), (1, 3), (1, 3), (1, 4), (1, 3)]
