@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from catalog import inputs as I
 from catalog.queries import QUERIES
 from snapledger import fixed
-from snapledger.operators import gapfill, hierarchy, profile, sprints
+from snapledger.functions import text
+from snapledger.operators import gapfill, hierarchy, profile, releases, sprints
 from snapledger.plans import epics
 from snapledger.session import open_files, stage
 from snapledger.sources.reports import ReportFolder
@@ -157,3 +158,15 @@ def test_sketches_are_given_hashes_that_are_ready(spark):
         assert lines and not any("xxhash64" in line for line in lines)
     found = [(r.NULLS, r.UNIQUES) for r in profile.profile(df, exact=False).collect()]
     assert found == [(1, 4), (1, 4), (1, 3), (1, 3), (1, 4), (1, 3)]
+
+
+def test_release_ranges_are_joined_where_roll_ups_left_the_rows(items, agile, settings):
+    """The rows that roll-ups have multiplied are not dealt by feature once more."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    current, now = items.drop("SNAPSHOT_DATE"), agile.drop("SNAPSHOT_DATE")
+    rows = epics.join_agile(epics.epic_current(current).distinct(), now, False)
+    rows = rows.withColumn(fixed.SNAPSHOT, F.lit(None).cast("date"))
+    rows = rows.toDF(*map(text.title_name, rows.columns))
+    again, there = releases.release_range(rows), epics.marked_releases(rows)
+    assert plan(there).count("Exchange hashpartitioning") == plan(again).count("Exchange hashpartitioning") - 1
+    assert there.count() > 0 and Counter(there.collect()) == Counter(again.collect())
