@@ -47,7 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 ids with their sequence and place."""
     ship_package(spark)
-    found = packing.pieces(docs, vocabulary_path(TOKENIZER), capacity=1024, end_id=2, keep_tables=False)
+    found = packing.pieces(
+        docs, vocabulary_path(TOKENIZER), capacity=1024, end_id=2, keep_tables=False, chunk_chars=500_000
+    )
     return packing.pack(found, capacity=1024)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +31,13 @@ _MAY_BE_SPACE_IN_SPACE += [c for c in map(chr, range(0x3001)) if c.isspace() and
 _MARK_AFTER_OTHER = re.compile(r"[,.](?<![A-Za-zÀ-ÖØ-öø-ÿ][,.])")
 
 _MARK = "\0"
-_STARTS = (" ", "\n")
+_START_BYTES = [*b" \n"]
+_SPACE_BYTES = [i for i in range(128) if chr(i).isspace()]
 
 _KEEP_PARTS = 400_000  # entries of each of a worker's two tables, about 70 MB
+_KEEP_IDS = 16  # times as many ids are held by a table at most, and those of one batch
 _KEEP_CHARS = 40  # longer parts are not kept
+_RUN = 2000  # parts that the library is given as one text
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -81,8 +84,7 @@ class Encoder:
         # Without truncation, padding or added tokens, whatever the file says.
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.parts: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.parts, self.older = _Parts(), _Parts()
         added = self.tokenizer.get_added_tokens_decoder()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
@@ -99,53 +101,53 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
+        ids, bounds = self.encode_flat(texts)
+        ids, bounds = ids.tobytes(), (4 * bounds).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the bounds of each text's."""
         if not self.splittable:
-            return self._whole(texts)
-        marked = [self._marked(text) for text in texts]
-        cut = pc.split_pattern(pa.array(marked, pa.large_string()), _MARK)
+            return _joined(self._whole(texts))
+        cut = pc.split_pattern(pa.array([self._marked(text) for text in texts], pa.large_string()), _MARK)
         named = cut.flatten().dictionary_encode()
-        if len(self.parts) > _KEEP_PARTS:
+        if self.parts.full():
             # Parts that are still in use move from the older table to the newer.
-            self.older, self.parts = self.parts, {}
-        found = self._find(named.dictionary.to_numpy(zero_copy_only=False).tolist())
+            self.older, self.parts = self.parts, _Parts()
+        slots = self._find(named.dictionary)
         # The ids of the different parts lie end to end; each place in a text takes its part's.
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        part = named.indices.to_numpy()
-        taken = sizes[part]
-        ends = np.concatenate([[0], np.cumsum(taken)])
-        at = np.repeat((np.cumsum(sizes) - sizes)[part] - ends[:-1], taken)
-        at += np.arange(len(at))
-        ids = flat[at].tobytes()
-        bounds = (4 * ends[cut.offsets.to_numpy()]).tolist()
-        out = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        ids, ends = self.parts.take(slots[named.indices.to_numpy()])
+        bounds = ends[cut.offsets.to_numpy()]
         # The library itself encodes texts that hold the mark.
         odd = [i for i, text in enumerate(texts) if _MARK in text]
-        for i, own in zip(odd, self._whole([texts[i] for i in odd]) if odd else []):
-            out[i] = own
-        return out
-
-    def _find(self, names: list[str]) -> list[bytes]:
-        """Ids of different parts, from the worker's tables or the library."""
-        parts, older = self.parts, self.older
-        found = list(map(parts.get, names))
-        absent = [i for i, ids in enumerate(found) if ids is None]
-        if absent and older:
-            for i in absent:
-                found[i] = older.get(names[i])
-            parts.update((names[i], found[i]) for i in absent if found[i] is not None)
-            absent = [i for i in absent if found[i] is None]
-        if absent:
-            missing = [names[i] for i in absent]
-            new = self._encode_parts(missing)
-            for i, part in zip(absent, missing):
-                found[i] = new[part]
-            parts.update((part, ids) for part, ids in new.items() if len(part) <= _KEEP_CHARS)
-        return found
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        if odd:
+            own = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+            for i, found in zip(odd, self._whole([texts[i] for i in odd])):
+                own[i] = found
+            return _joined(own)
+        return ids, bounds
+
+    def _find(self, parts: pa.LargeStringArray) -> np.ndarray:
+        """Slots of different parts in the worker's newer table, which gains those it lacks."""
+        names = parts.to_numpy(zero_copy_only=False)
+        short = pc.utf8_length(parts).to_numpy() <= _KEEP_CHARS
+        slots = self.parts.slots(names.tolist())
+        absent = np.flatnonzero(slots < 0)
+        if self.older.n_slots:
+            known = self.older.slots(names[absent].tolist())
+            old, known = absent[known >= 0], known[known >= 0]
+            ids, ends = self.older.take(known)
+            slots[old] = self.parts.add(names[old], short[old], ids, np.diff(ends))
+            absent = np.flatnonzero(slots < 0)
+        if len(absent):
+            at, ids, sizes = self._encode_parts(parts.take(pa.array(absent)))
+            absent = absent[at]
+            slots[absent] = self.parts.add(names[absent], short[absent], ids, sizes)
+        return slots
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        return [np.array(e.ids, np.uint32) for e in found]
 
     @staticmethod
     def _marked(text: str) -> str:
@@ -160,25 +162,102 @@ class Encoder:
             text = text.replace(",", _MARK + ",").replace(".", _MARK + ".")
         return text
 
-    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+    def _encode_parts(self, parts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which part, ids end to end and number of ids, of each part in an order of its own."""
         # Parts that start with white space and do not end with it may stand side by side.
-        run = [part for part in parts if part[:1] in _STARTS and not part[-1].isspace()]
-        found = self._encode_run(run) if run else {}
-        if len(run) < len(parts):
-            alone = [part for part in parts if part not in found]
-            found.update(zip(alone, self._whole(alone)))
-        return found
-
-    def _encode_run(self, run: list[str]) -> dict[str, bytes]:
-        text = "".join(run)
-        ids = self._whole([text])[0]
-        ends = np.cumsum([*map(len, run if text.isascii() else [part.encode() for part in run])])
-        token_ends = np.cumsum(self.byte_lengths[np.frombuffer(ids, np.uint32)])
-        at = np.searchsorted(token_ends, ends)
-        if token_ends[-1] != ends[-1] or not np.array_equal(token_ends[at], ends):
-            return dict(zip(run, self._whole(run)))
-        stops = ((at + 1) * 4).tolist()
-        return {p: ids[a:b] for p, a, b in zip(run, [0, *stops], stops)}
+        offsets, content = _content(parts)
+        some = np.flatnonzero(np.diff(offsets))
+        first, last = content[offsets[some]], content[offsets[some + 1] - 1]
+        beside = np.zeros(len(parts), bool)
+        beside[some] = np.isin(first, _START_BYTES) & ~np.isin(last, _SPACE_BYTES)
+        for i in some[beside[some] & (last >= 0x80)].tolist():
+            beside[i] = not parts[i].as_py()[-1].isspace()
+        run, alone = np.flatnonzero(beside), np.flatnonzero(~beside)
+        ids, sizes = self._encode_run(parts.take(pa.array(run)))
+        if len(alone):
+            more, bounds = _joined(self._whole(parts.take(pa.array(alone)).to_pylist()))
+            ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, np.diff(bounds)])
+        return np.concatenate([run, alone]), ids, sizes
+
+    def _encode_run(self, run: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids end to end and number of ids of parts that may stand side by side."""
+        offsets, content = _content(run)
+        found, sizes = [], []
+        for a in range(0, len(run), _RUN):
+            ends = offsets[a : a + _RUN + 1]
+            text = content[ends[0] : ends[-1]].tobytes().decode()
+            ids = self._whole([text])[0]
+            ends = ends[1:] - ends[0]
+            token_ends = np.cumsum(self.byte_lengths[ids])
+            at = np.searchsorted(token_ends, ends)
+            if token_ends[-1] == ends[-1] and np.array_equal(token_ends[at], ends):
+                found.append(ids)
+                sizes.append(np.diff(at + 1, prepend=0))
+            else:
+                alone = self._whole(run.slice(a, _RUN).to_pylist())
+                found += alone
+                sizes.append([*map(len, alone)])
+        return _joined(found)[0], np.concatenate([np.zeros(0, np.int64), *sizes])
+
+
+def _content(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes of each text begin and end, and all bytes."""
+    _, offsets, content = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if offsets else np.zeros(1, int)
+    return bounds, np.frombuffer(content or b"", np.uint8)
+
+
+class _Parts:
+    """Ids of parts, end to end in one array; a part's slot tells where they lie."""
+
+    def __init__(self):
+        self.names: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.n_ids = self.n_slots = 0
+
+    def full(self) -> bool:
+        return self.n_slots > _KEEP_PARTS or self.n_ids > _KEEP_IDS * _KEEP_PARTS
+
+    def slots(self, names: list[str]) -> np.ndarray:
+        """The slot of each part, -1 where there is none."""
+        return np.fromiter(map(self.names.get, names, repeat(-1)), np.int64, len(names))
+
+    def add(self, names: np.ndarray, short: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """New slots for parts. Those that are not short cannot be found by name later."""
+        at, slot = self.n_ids, self.n_slots
+        self.n_ids, self.n_slots = at + len(ids), slot + len(sizes)
+        self.ids = _room(self.ids, self.n_ids)
+        self.starts, self.sizes = _room(self.starts, self.n_slots), _room(self.sizes, self.n_slots)
+        self.ids[at : self.n_ids] = ids
+        self.starts[slot : self.n_slots] = np.cumsum(sizes) - sizes + at
+        self.sizes[slot : self.n_slots] = sizes
+        new = np.arange(slot, self.n_slots)
+        self.names.update(zip(names[short].tolist(), new[short].tolist()))
+        return new
+
+    def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the slots end to end, and where each slot's begin and end."""
+        sizes = self.sizes[slots]
+        ends = np.zeros(len(slots) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        at = np.repeat(self.starts[slots] - ends[:-1], sizes)
+        at += np.arange(len(at))
+        return self.ids[at], ends
+
+
+def _room(values: np.ndarray, n: int) -> np.ndarray:
+    """The array, or one that begins with it and has room for ``n`` values."""
+    if n <= len(values):
+        return values
+    grown = np.empty(max(n, 2 * len(values)), values.dtype)
+    grown[: len(values)] = values
+    return grown
+
+
+def _joined(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays end to end, and their bounds."""
+    bounds = np.cumsum([0, *map(len, found)])
+    return np.concatenate(found or [np.zeros(0, np.uint32)]), bounds
 
 
 def batches(texts: list, chars: int = 500_000):

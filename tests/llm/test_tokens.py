@@ -38,6 +38,25 @@ def test_parts_give_the_librarys_ids(library, monkeypatch, keep):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(library, t) for t in texts[a:b]]
 
 
+@pytest.mark.parametrize("most", [1, 2, 2000])
+def test_parts_are_looked_up_once_a_chunk(library, monkeypatch, most):
+    """Ids of a chunk end to end; the library gets a part once, and long parts do not pile up."""
+    monkeypatch.setattr(encoding, "_RUN", most)
+    tool, given = encoding.Encoder(PATH), []
+    whole = tool._whole
+    monkeypatch.setattr(tool, "_whole", lambda texts: given.extend(texts) or whole(texts))
+    texts = ["one two two\u3000 two", "", "é two one\0 two", " two" * 50, "x" * 60 + " " + "y" * 60]
+    for _ in range(2):
+        ids, bounds = tool.encode_flat(texts)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [ids_of(library, t) for t in texts]
+    # Two different parts, one of which holds it twice, and the text with the mark, which is never kept.
+    assert "".join(given).count(" two") == 1 + 2 + 2 * 2
+    monkeypatch.setattr(encoding, "_KEEP_PARTS", 10)
+    for i in range(100):
+        tool.encode_flat([f"{i}" * 500 + f" {i}z"])
+        assert tool.parts.n_slots < 30 and tool.parts.n_ids < 2000
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = encoding.vocabulary_path("word_bpe_49k.json")
     tool, plain = encoding.Encoder(path), Tokenizer.from_file(path)
