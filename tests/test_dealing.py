@@ -56,6 +56,21 @@ def test_history_and_stories_meet_where_they_were_dealt(spark, sf, settings):
     assert text.count("Exchange hashpartitioning") == 2 and "RoundRobin" not in text
 
 
+@pytest.mark.parametrize("name", ["agile_join_current", "story_columns", "align_union_distinct"])
+def test_tables_of_one_row_group_are_dealt_by_their_key(spark, sf, name):
+    """Not in turn, for which Spark sorts the rows of every task first."""
+    text = plan(QUERIES[name](spark, sf))
+    assert "RoundRobin" not in text and "REPARTITION_BY_NUM" in text
+
+
+def test_spread_tables_keep_every_row_and_fill_all_tasks(spark, sf):
+    for name in I.SPREAD:
+        got, given = I.table(spark, sf, name), spark.read.parquet(f"{sf}/{name}.parquet")
+        assert Counter(got.collect()) == Counter(given.collect())
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
+
+
 def test_leaves_read_apart_are_not_staged(spark, items, monkeypatch):
     made = []
     monkeypatch.setattr(hierarchy, "stage", lambda df, *args, **more: made.append(df) or stage(df, *args, **more))
