@@ -63,6 +63,14 @@ def test_tables_of_one_row_group_are_dealt_by_their_key(spark, sf, name):
     assert "RoundRobin" not in text and "REPARTITION_BY_NUM" in text
 
 
+def test_epics_are_dealt_once_by_what_they_meet_features_on(spark, sf, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(QUERIES["agile_join_current"](spark, sf))
+    assert text.count("REPARTITION_BY_NUM") == 2
+    # Three levels meet theirs on both sides; the fourth, features, is dealt anew for its roll-ups.
+    assert text.count("ENSURE_REQUIREMENTS") == 3 * 2 + 1
+
+
 def test_spread_tables_keep_every_row_and_fill_all_tasks(spark, sf):
     for name in I.SPREAD:
         got, given = I.table(spark, sf, name), spark.read.parquet(f"{sf}/{name}.parquet")
