@@ -212,7 +212,8 @@ class _Parts:
 
     def __init__(self):
         self.names: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # The ids of a slot lie between its bound and the next.
+        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.n_ids = self.n_slots = 0
 
     def full(self) -> bool:
@@ -227,20 +228,20 @@ class _Parts:
         at, slot = self.n_ids, self.n_slots
         self.n_ids, self.n_slots = at + len(ids), slot + len(sizes)
         self.ids = _room(self.ids, self.n_ids)
-        self.starts, self.sizes = _room(self.starts, self.n_slots), _room(self.sizes, self.n_slots)
+        self.bounds = _room(self.bounds, self.n_slots + 1)
         self.ids[at : self.n_ids] = ids
-        self.starts[slot : self.n_slots] = np.cumsum(sizes) - sizes + at
-        self.sizes[slot : self.n_slots] = sizes
+        self.bounds[slot + 1 : self.n_slots + 1] = at + np.cumsum(sizes)
         new = np.arange(slot, self.n_slots)
         self.names.update(zip(names[short].tolist(), new[short].tolist()))
         return new
 
     def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the slots end to end, and where each slot's begin and end."""
-        sizes = self.sizes[slots]
+        starts = self.bounds[slots]
+        sizes = self.bounds[slots + 1] - starts
         ends = np.zeros(len(slots) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])
-        at = np.repeat(self.starts[slots] - ends[:-1], sizes)
+        at = np.repeat(starts - ends[:-1], sizes)
         at += np.arange(len(at))
         return self.ids[at], ends
 
@@ -249,7 +250,7 @@ def _room(values: np.ndarray, n: int) -> np.ndarray:
     """The array, or one that begins with it and has room for ``n`` values."""
     if n <= len(values):
         return values
-    grown = np.empty(max(n, 2 * len(values)), values.dtype)
+    grown = np.empty(max(n, len(values) + len(values) // 4), values.dtype)
     grown[: len(values)] = values
     return grown
 
