@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "500")  # plans name whole paths, also below a long temporary folder
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config(map=SETTINGS)
