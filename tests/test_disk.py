@@ -7,9 +7,11 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.queries import QUERIES
+from snapledger import fixed
 from snapledger.operators.joins import left_lookup
 from snapledger.operators.merge import latest_per_key
-from snapledger.plans import epics
+from snapledger.plans import epics, incremental
 from snapledger.session import CODEC, shuffles_dropped, stage
 from snapledger.sources import history
 from snapledger.sources.history import HistoryStore
@@ -115,3 +117,35 @@ def test_a_store_is_filled_with_one_shuffle(spark, tmp_path, joins_shuffled, mon
     assert Counter(map(tuple, got.select("K", "SNAPSHOT_DATE", "v").collect())) == Counter([("a", DAY, 12), ("a", NEXT, 1), ("b", DAY, 15)])
     assert all(arranged for _, arranged in made) and len(dealt(made[0][0])) == len(dealt(made[1][0])) == 1
     assert all(len(store.spark.read.parquet(f"{store.manifests.data}/{f}").inputFiles()) <= store.buckets for f in store.folders().values())
+
+
+def test_dates_of_a_report_are_written_in_groups(spark, tmp_path, monkeypatch):
+    """Whole dates of at most so many rows; every row is in one group, also of dates not foreseen and without a date."""
+    store = HistoryStore(spark, str(tmp_path / "s"), "K")
+    days = [DAY + dt.timedelta(days=7 * i) for i in range(4)]
+    store.seed(spark.createDataFrame([(f"k{i}", d) for i in range(3) for d in days], "K string, SNAPSHOT_DATE date"))
+    as_of = dt.datetime(1998, 3, 4)
+    assert len(incremental.date_groups(store, as_of)) == 1
+    monkeypatch.setattr(fixed, "ROWS_AT_A_TIME", 6)
+    groups = incremental.date_groups(store, as_of)
+    assert [d for group in groups for d in group] == [*days, dt.date(1998, 3, 2), as_of.date()] and set(map(len, groups)) == {2}
+    assert incremental.date_groups(store, as_of, days[:1]) != groups
+    df = spark.createDataFrame([(d, i) for i, d in enumerate([*days, as_of.date(), None, dt.date(1990, 1, 1)])], "d date, v int")
+    parts = incremental.by_groups(df, F.col("d"), groups)
+    assert sum((Counter(part.collect()) for part in parts), Counter()) == Counter(df.collect())
+    report = ReportFolder(spark, str(tmp_path / "r"))
+    assert Counter(report.replace(parts, "d").select("d", "v").collect()) == Counter(df.collect())
+    assert len({folder.split("/")[0] for folder in report.last()[1]["parts"].values()}) == 3
+    with pytest.raises(ValueError):
+        report.replace([df, df], "d")
+
+
+@pytest.mark.parametrize("name", ["stories_report_stored", "epics_report_incremental", "release_diagnostics"])
+def test_reports_in_groups_are_the_reports(spark, sf, monkeypatch, name):
+    # Each run states its own staging time in no column; all columns are compared.
+    want = Counter(map(str, QUERIES[name](spark, sf).collect()))
+    made, write = [], ReportFolder._write
+    monkeypatch.setattr(ReportFolder, "_write", lambda self, df, column: made.append(column) or write(self, df, column))
+    monkeypatch.setattr(fixed, "ROWS_AT_A_TIME", 12000)
+    assert Counter(map(str, QUERIES[name](spark, sf).collect())) == want
+    assert made.count("Snapshot Date") > 2
